@@ -419,7 +419,7 @@ def _(spark, sf):
 @query("ts_features_filled", 2)
 def _(spark, sf):
     filled = series.resample_minute_filled(_hr(spark, sf))
-    return features.ts_features(series.elapsed_series(filled))
+    return features.ts_features(filled.select(col("Id").alias("id"), col("Value").alias("value")))
 
 
 @query("drop_empty_features", 3)

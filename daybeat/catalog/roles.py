@@ -74,7 +74,10 @@ def hourly_intensities(events: DataFrame) -> DataFrame:
 
 def minute_sleep(events: DataFrame) -> DataFrame:
     """Each signup or error event opens a log of 10 to 300 minutes."""
-    logs = events.filter(F.col("event_type").isin("signup", "error"))
+    logs = events.filter(F.col("event_type").isin("signup", "error")).select(
+        "event_id", "user_id", "ts")
+    # a log grows up to 301-fold: spread the logs over the cores before expanding them
+    logs = logs.repartition(events.sparkSession.sparkContext.defaultParallelism, "event_id")
     minute = F.explode(F.sequence(F.lit(0), 10 * (1 + F.col("event_id") % 30))).alias("minute")
     return logs.select("event_id", "user_id", "ts", minute).select(
         F.col("user_id").alias("Id"),

@@ -1,4 +1,4 @@
-"""Exact, linearly interpolated quantiles of whole columns.
+"""Exact, linearly interpolated quantiles of whole columns and of groups.
 
 The built-in ``percentile`` counts distinct values in one task. That is right for steps,
 minutes or beats, but not for a continuous column of a very large table. Such columns are
@@ -9,15 +9,17 @@ returns one row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import one_row
+from ..session import keep, one_row
 from .columns import col
 
 SKETCH_ACCURACY = 10_000
 DISTINCT_IN_ONE_TASK = 200_000
+SMALL_GROUP = 1_000
 
 
 @dataclass
@@ -85,3 +87,59 @@ def _narrow(df: DataFrame, wide: list[tuple[_Bracket, float, float]]) -> list[_B
             narrowed.append(_Bracket(b.column, b.index, inside[i], position, row[f"n{i}"],
                                      min(row[f"d{i}"], row[f"n{i}"]), b.slack))
     return narrowed
+
+
+def group_brackets(values: dict[str, Column], p: float,
+                   accuracy: int = SKETCH_ACCURACY) -> list[Column]:
+    """Aggregates ``__n_<name>``, ``__lo_<name>``, ``__hi_<name>`` per value: its rows in the group
+    and two of its values that enclose quantile ``p``. The sketches merge, so a huge group is
+    combined on the map side."""
+    slack, out = 2.0 / accuracy, []
+    for name, v in values.items():
+        near = F.percentile_approx(v, F.array(
+            F.lit(max(p - slack, 0.0)), F.lit(min(p + slack, 1.0))), F.lit(accuracy))
+        small = F.count(v) <= SMALL_GROUP
+        out += [F.count(v).alias(f"__n_{name}"),
+                F.when(small, F.min(v)).otherwise(near[0]).alias(f"__lo_{name}"),
+                F.when(small, F.max(v)).otherwise(near[1]).alias(f"__hi_{name}")]
+    return out
+
+
+def quantiles_in_brackets(df: DataFrame, brackets: DataFrame, keys: Sequence[str],
+                          values: dict[str, Column], p: float) -> DataFrame:
+    """(keys, names): quantile ``p`` of every value per group, exact.
+
+    A group keeps only its values strictly inside the bracket, a few ten-thousandths of its
+    rows, next to a count of those up to the lower end; repeated values never pile up.
+    ``brackets`` should be a written table, so that its size decides how it is joined.
+    """
+    kept = [f"__{x}_{name}" for name in values for x in ("n", "lo", "hi")]
+    joined = df.join(brackets.select(*[col(k) for k in keys], *kept), list(keys))
+    found = joined.groupBy(*[col(k) for k in keys]).agg(
+        *[F.first(c).alias(c) for c in kept],
+        *[a for name, v in values.items() for a in (
+            F.count_if(v <= col(f"__lo_{name}")).alias(f"__upto_{name}"),
+            F.sort_array(F.collect_list(F.when(
+                (v > col(f"__lo_{name}")) & (v < col(f"__hi_{name}")), v))).alias(f"__in_{name}"))])
+
+    def quantile(name: str) -> Column:
+        lo, hi, inside = (col(f"__{x}_{name}") for x in ("lo", "hi", "in"))
+
+        def at(rank: Column) -> Column:
+            index = (rank - col(f"__upto_{name}")).cast("int")
+            return (F.when(index < 0, lo)
+                    .when(index < F.size(inside), inside[F.greatest(index, F.lit(0))]).otherwise(hi))
+
+        position = (col(f"__n_{name}") - 1) * F.lit(float(p))
+        below, above = at(F.floor(position)), at(F.ceil(position))
+        value = below + (above - below) * (position - F.floor(position))
+        return F.when(col(f"__n_{name}") > 0, value).alias(name)
+
+    return found.select(*[col(k) for k in keys], *[quantile(name) for name in values])
+
+
+def quantile_by_group(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
+                      p: float) -> DataFrame:
+    """Brackets, then quantiles; reads ``df`` twice."""
+    brackets = keep(df.groupBy(*[col(k) for k in keys]).agg(*group_brackets(values, p)))
+    return quantiles_in_brackets(df, brackets, keys, values, p)

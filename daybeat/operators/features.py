@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col, half_even, numeric_columns
-from ..functions.quantiles import exact_quantiles
-from ..session import one_row
+from ..functions.quantiles import exact_quantiles, group_brackets, quantiles_in_brackets
+from ..session import keep, one_row
 from .impute import fill_median
 
 # The metrics of a user profile.
@@ -24,14 +24,12 @@ NOT_METRICS = ("Id", "id", "logId", "KMeans_Cluster", "DBSCAN_Cluster")
 def ts_features(series: DataFrame, key: str = "id", value: str = "value") -> DataFrame:
     """Minimal feature set per user from (id, time, value); deviations use ddof 0.
 
-    The median counts a user's distinct values; the series has one value per minute, so that
-    map is bounded by the minutes on the calendar.
+    One pass aggregates everything but the median and brackets that; a second pass settles it.
     """
-    v = col(value)
-    name = f"{value}__"
-    return (series.filter(v.isNotNull() & col(key).isNotNull()).groupBy(col(key)).agg(
+    v, name = col(value), f"{value}__"
+    rows = series.filter(v.isNotNull() & col(key).isNotNull()).select(col(key), v)
+    stats = keep(rows.groupBy(col(key)).agg(
         F.sum(v).alias(name + "sum_values"),
-        F.percentile(v, F.lit(0.5)).alias(name + "median"),
         F.avg(v).alias(name + "mean"),
         F.count(v).alias(name + "length"),
         F.stddev_pop(v).alias(name + "standard_deviation"),
@@ -39,7 +37,14 @@ def ts_features(series: DataFrame, key: str = "id", value: str = "value") -> Dat
         F.sqrt(F.avg(v * v)).alias(name + "root_mean_square"),
         F.max(v).alias(name + "maximum"),
         F.max(F.abs(v)).alias(name + "absolute_maximum"),
-        F.min(v).alias(name + "minimum")))
+        F.min(v).alias(name + "minimum"),
+        *group_brackets({"median": v}, 0.5)))
+    medians = quantiles_in_brackets(rows, stats, [key], {"median": v}, 0.5).withColumnRenamed(
+        "median", name + "median")
+    return stats.join(medians, key).select(
+        col(key), *[col(name + f) for f in (
+            "sum_values", "median", "mean", "length", "standard_deviation", "variance",
+            "root_mean_square", "maximum", "absolute_maximum", "minimum")])
 
 
 def drop_empty_features(df: DataFrame) -> DataFrame:

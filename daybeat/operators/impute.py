@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col
 from ..functions.ordered import interpolate
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import exact_quantiles, quantile_by_group
 from ..session import one_row
 
 
@@ -38,15 +38,21 @@ def fill_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         c: F.coalesce(col(c).cast("double"), F.lit(medians.get(c)).cast("double")) for c in cols})
 
 
-def fill_median_by_key(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+def fill_median_by_key(df: DataFrame, key: str, cols: Sequence[str],
+                       few_values: bool = False) -> DataFrame:
     """Nulls become that user's median; users without any value stay null.
 
-    Medians are aggregated and joined back, so a user with very many rows is combined on
-    the map side instead of being buffered by a window.
+    Medians are aggregated and joined back, so no user is buffered by a window. With
+    ``few_values`` the caller vouches that a user has few distinct values (such as one per
+    calendar day); they are then simply counted. Otherwise medians come from brackets.
     """
-    names = {c: f"__median_{i}" for i, c in enumerate(cols)}
-    medians = df.groupBy(col(key)).agg(
-        *[F.percentile(col(c), F.lit(0.5)).alias(n) for c, n in names.items()])
+    names = {c: f"m{i}" for i, c in enumerate(cols)}
+    if few_values:
+        medians = df.groupBy(col(key)).agg(
+            *[F.percentile(col(c), F.lit(0.5)).alias(n) for c, n in names.items()])
+    else:
+        medians = quantile_by_group(df, [key], {n: col(c).cast("double") for c, n in names.items()}, 0.5)
+    medians = medians.withColumnsRenamed({n: f"__{n}" for n in names.values()})
     return df.join(medians, key, "left").select(*[
-        F.coalesce(col(c).cast("double"), col(names[c])).alias(c) if c in names else col(c)
+        F.coalesce(col(c).cast("double"), col(f"__{names[c]}")).alias(c) if c in names else col(c)
         for c in df.columns])

@@ -128,7 +128,8 @@ def master_daily(tables: dict[str, DataFrame], sleep_stage: bool = False) -> Dat
     if "heartrate" in tables:
         minutes = series.resample_minute(tables["heartrate"])
         master = master.join(series.daily_hr_stats(minutes), ["Id", "Date"], "left")
-        master = impute.fill_median_by_key(master, "Id", HR_COLUMNS)
+        # one value per user and day at most, whatever the sensor volume
+        master = impute.fill_median_by_key(master, "Id", HR_COLUMNS, few_values=True)
     if "minute_sleep" in tables:
         master = master.join(series.daily_sleep_count(tables["minute_sleep"]), ["Id", "Date"], "left")
         master = clean.fill_constant(master.withColumn(

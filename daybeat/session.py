@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Expanding steps start from small shuffles; keep one task per core for those too.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
