@@ -1,10 +1,10 @@
 """Row-order operators that never sort one key, or one table, in a single task.
 
 A long ordered run is cut into chunks by a column the caller names (a day, a block of record
-numbers). Windows run inside (key, chunk); one summary row per chunk carries positions and
-values across the cuts and is joined back. Rows are shuffled once, only summaries twice.
-Without a chunk column the window spans the whole key: use that where the key has at most
-one row per calendar step.
+numbers). Windows run inside (key, chunk) and their result is written once; one summary row
+per chunk carries positions and values across the cuts and is joined back. Without a chunk
+column the window spans the whole key: use that where the key has at most one row per
+calendar step.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import keep
 from .columns import col
 
 _POS, _CHUNK = "__pos", "__chunk"
@@ -34,9 +35,9 @@ def _with_neighbours(df: DataFrame, values: dict[str, Column], order: Sequence[s
         df = df.withColumn(_CHUNK, chunk)
     inside = keys + ([_CHUNK] if chunk is not None else [])
     by = Window.partitionBy(*[col(k) for k in inside])
-    placed = df.withColumn(
-        _POS, F.row_number().over(by.orderBy(*[col(o) for o in order])).cast("long"))
-    forward = by.orderBy(_POS).rowsBetween(*_SO_FAR)
+    in_order = by.orderBy(*[col(o) for o in order])
+    placed = df.withColumn(_POS, F.row_number().over(in_order).cast("long"))
+    forward = in_order.rowsBetween(*_SO_FAR)      # same sort as the row number
     backward = by.orderBy(col(_POS).desc()).rowsBetween(*_SO_FAR)
     points = {n: F.when(v.isNotNull(), F.struct(col(_POS).alias("pos"), v.alias("val")))
               for n, v in values.items()}
@@ -45,6 +46,7 @@ def _with_neighbours(df: DataFrame, values: dict[str, Column], order: Sequence[s
         *[F.last(p, True).over(backward).alias(f"__next_{n}") for n, p in points.items()])
     if chunk is None:
         return placed
+    placed = keep(placed)       # read twice: for the summary and for the rows
     totals = placed.groupBy(*[col(k) for k in inside]).agg(
         F.count("*").alias("__rows"),
         *[a for n in values for a in (F.max(f"__prev_{n}").alias(f"__last_{n}"),
@@ -73,24 +75,27 @@ def _names(cols: Sequence[str]) -> dict[str, str]:
     return {c: f"c{i}" for i, c in enumerate(cols)}
 
 
-def interpolate(df: DataFrame, cols: Sequence[str], order: Sequence[str],
-                keys: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
-    """Fill nulls linearly by row position, then with the last, then with the next value.
+def fill(df: DataFrame, linear: Sequence[str], forward: Sequence[str], order: Sequence[str],
+         keys: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
+    """Fill two groups of columns in one pass over the ordered rows.
 
-    Filled columns become double. Rows with a null key are left as they are.
+    ``linear``: by row position between neighbours, then the last, then the next value; the
+    result is double. ``forward``: the last value. Rows with a null key are left as they are.
     """
-    if not cols:
+    if not linear and not forward:
         return df
-    names = _names(cols)
-    wide = _with_neighbours(df, {names[c]: col(c).cast("double") for c in cols},
-                            order, keys, chunk)
+    names = _names([*linear, *forward])
+    values = {names[c]: col(c).cast("double") if c in linear else col(c) for c in names}
+    wide = _with_neighbours(df, values, order, keys, chunk)
     known = [col(k).isNotNull() for k in keys]
 
     def filled(c: str) -> Column:
-        own, prev, nxt = col(c).cast("double"), col(f"__prev_{names[c]}"), col(f"__next_{names[c]}")
-        rise = F.try_divide((nxt["val"] - prev["val"]) * (col(_POS) - prev["pos"]),
-                            (nxt["pos"] - prev["pos"]).cast("double"))
-        value = F.coalesce(own, prev["val"] + rise, prev["val"], nxt["val"])
+        own, prev, nxt = values[names[c]], col(f"__prev_{names[c]}"), col(f"__next_{names[c]}")
+        value = F.coalesce(own, prev["val"])
+        if c in linear:
+            rise = F.try_divide((nxt["val"] - prev["val"]) * (col(_POS) - prev["pos"]),
+                                (nxt["pos"] - prev["pos"]).cast("double"))
+            value = F.coalesce(own, prev["val"] + rise, prev["val"], nxt["val"])
         for k in known:
             value = F.when(k, value).otherwise(own)
         return value.alias(c)
@@ -98,13 +103,16 @@ def interpolate(df: DataFrame, cols: Sequence[str], order: Sequence[str],
     return wide.select(*[filled(c) if c in names else col(c) for c in df.columns])
 
 
+def interpolate(df: DataFrame, cols: Sequence[str], order: Sequence[str],
+                keys: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
+    """Fill nulls linearly by row position, then with the last, then with the next value."""
+    return fill(df, cols, (), order, keys, chunk)
+
+
 def carry_forward(df: DataFrame, cols: Sequence[str], order: Sequence[str],
                   keys: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
     """Replace nulls by the last value before them in row order."""
-    names = _names(cols)
-    wide = _with_neighbours(df, {names[c]: col(c) for c in cols}, order, keys, chunk)
-    return wide.select(*[col(f"__prev_{names[c]}")["val"].alias(c) if c in names else col(c)
-                         for c in df.columns])
+    return fill(df, (), cols, order, keys, chunk)
 
 
 def previous_value(df: DataFrame, name: str, value: str, order: Sequence[str],
@@ -128,7 +136,7 @@ def previous_value(df: DataFrame, name: str, value: str, order: Sequence[str],
             .drop(_CHUNK, "__first", "__end"))
 
 
-def record_block(column: str, size: int = 1_000_000) -> Column:
+def record_block(column: str, size: int = 100_000) -> Column:
     """Chunk of a unique whole-number order column: at most ``size`` rows each."""
     return F.floor(col(column) / F.lit(size))
 

@@ -49,15 +49,19 @@ def date_like_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if "date" in c.lower()]
 
 
+def parse_dates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Day-first text to dates; bad text -> null."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.withColumns({
+        c: (_parsed(col(c), DAY_FIRST_FORMATS) if isinstance(types[c], T.StringType) else col(c))
+        .cast("date") for c in cols})
+
+
 def normalise_dates(df: DataFrame, order: Sequence[str], cols: Sequence[str] | None = None,
                     chunk: Column | None = None) -> DataFrame:
     """Day-first text to dates; gaps take the last valid date in row order."""
     cols = list(cols if cols is not None else date_like_columns(df))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    parsed = df.withColumns({
-        c: (_parsed(col(c), DAY_FIRST_FORMATS) if isinstance(types[c], T.StringType) else col(c))
-        .cast("date") for c in cols})
-    return carry_forward(parsed, cols, order, chunk=chunk)
+    return carry_forward(parse_dates(df, cols), cols, order, chunk=chunk)
 
 
 def fill_unknown(df: DataFrame, leave_out: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_date, col, half_even, numeric_columns, text_columns
-from ..functions.ordered import record_block, time_block
+from ..functions.ordered import fill, record_block, time_block
 from ..operators import clean, impute, series
 from ..operators.dbscan import dbscan
 from ..operators.features import standard_scale, user_features_fixed
@@ -43,8 +43,7 @@ def clean_file(df: DataFrame, role: str, key: str = "Id") -> DataFrame:
     if gaps:
         if key in df.columns:
             order = [time] + [c for c in df.columns if c not in (time, key)]
-            out = keep(impute.interpolate_by_key(out, key, order, gaps,
-                                                 time_block(time, TIME_BLOCKS[role])))
+            out = impute.interpolate_by_key(out, key, order, gaps, time_block(time, TIME_BLOCKS[role]))
         out = impute.fill_median(out, gaps)
     return clean.fill_unknown(out, [c for c in out.columns if c not in texts])
 
@@ -57,11 +56,15 @@ def preprocess_single(df: DataFrame, order: Sequence[str], chunk: Column | None
     ``chunk`` defaults to blocks of the first order column, a unique whole number.
     """
     chunk = record_block(order[0]) if chunk is None else chunk
-    numeric = numeric_columns(df)
+    filled_dates, filled_numbers = [], []
     if dates:
-        df = clean.normalise_dates(df, order, chunk=chunk)
+        filled_dates = clean.date_like_columns(df)
+        df = clean.parse_dates(df, filled_dates)
     if numbers:
-        df = impute.interpolate_all(df, order, [c for c in numeric if c not in order], chunk)
+        numeric = numeric_columns(df, tuple(order))
+        filled_numbers = _with_gaps(df, numeric)
+        df = _as_double(df, numeric)
+    df = fill(df, filled_numbers, filled_dates, order, chunk=chunk)
     return clean.fill_unknown(df) if categories else df
 
 
@@ -75,7 +78,8 @@ def preprocess_keyed(df: DataFrame, order: Sequence[str], key: str = "User_ID",
     numeric = numeric_columns(df, (key, *order))
     if key in df.columns:
         chunk = record_block(order[0]) if chunk is None else chunk
-        df = impute.interpolate_by_key(df, key, order, numeric, chunk)
+        gaps = _with_gaps(df, numeric)
+        df = impute.interpolate_by_key(_as_double(df, numeric), key, order, gaps, chunk)
         logs.append(f"Numeric columns interpolated per {key}, then carried forward and backward.")
     if "Workout_Type" in df.columns:
         df = clean.fill_constant(df, {"Workout_Type": clean.NO_WORKOUT})
@@ -108,8 +112,8 @@ def master_imputed(tables: dict[str, DataFrame], key: str = "Id") -> DataFrame:
     if gaps:
         order = ["ActivityDate"] + [c for c in daily.columns
                                     if c not in ("ActivityDate", "date_only", key)]
-        master = keep(impute.interpolate_by_key(master, key, order, gaps,
-                                                time_block("ActivityDate", "year")))
+        master = impute.interpolate_by_key(master, key, order, gaps,
+                                           time_block("ActivityDate", "year"))
         master = impute.fill_median(master, gaps)
     return clean.fill_unknown(master)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,12 +26,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="daybeat-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path under ``spark.checkpoint.dir``; a local folder only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="daybeat-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{base.rstrip('/')}/daybeat-{uuid.uuid4().hex}"
 
 

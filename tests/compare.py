@@ -18,7 +18,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def session() -> SparkSession:
     spark = (SparkSession.builder.master("local[8]").appName("daybeat-tests")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
