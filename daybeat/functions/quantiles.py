@@ -20,6 +20,8 @@ from .columns import col
 SKETCH_ACCURACY = 10_000
 DISTINCT_IN_ONE_TASK = 200_000
 SMALL_GROUP = 1_000
+FINEST_ACCURACY = 1_000_000
+VALUES_IN_ONE_GROUP = 1_000_000
 
 
 @dataclass
@@ -139,7 +141,15 @@ def quantiles_in_brackets(df: DataFrame, brackets: DataFrame, keys: Sequence[str
 
 
 def quantile_by_group(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
-                      p: float) -> DataFrame:
-    """Brackets, then quantiles; reads ``df`` twice."""
-    brackets = keep(df.groupBy(*[col(k) for k in keys]).agg(*group_brackets(values, p)))
-    return quantiles_in_brackets(df, brackets, keys, values, p)
+                      p: float, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Brackets, then quantiles; reads ``df`` twice.
+
+    If the largest group would keep too many values, its brackets are drawn again, tighter.
+    """
+    largest = F.max(F.greatest(*[col(f"__n_{n}") for n in values], F.lit(0)))
+    while True:
+        brackets = keep(df.groupBy(*[col(k) for k in keys]).agg(*group_brackets(values, p, accuracy)))
+        rows = one_row(brackets.agg(largest))[0] or 0
+        if 4 * rows / accuracy <= VALUES_IN_ONE_GROUP or accuracy >= FINEST_ACCURACY:
+            return quantiles_in_brackets(df, brackets, keys, values, p)
+        accuracy *= 100
