@@ -420,7 +420,7 @@ oracle("cluster_profile_long", " UNION ALL ".join(
     FROM um_activity JOIN tight_labels USING (Id) GROUP BY 1""" for c in _shown), "Average")
 oracle("activity_label", """SELECT Id, CASE WHEN TotalSteps > 10000 THEN 'Highly Active' WHEN TotalSteps > 7000 THEN 'Moderately Active'
   WHEN TotalSteps > 4000 THEN 'Lightly Active' ELSE 'Sedentary' END AS level,
-  CASE WHEN TotalSteps > 10000 THEN 'Highly Active' WHEN TotalSteps > 5000 THEN 'Moderately Active' ELSE 'Sedentary' END AS notebook_level
+  CASE WHEN TotalSteps > 10000 THEN 'Highly Active' WHEN TotalSteps > 5000 THEN 'Moderately Active' ELSE 'Sedentary' END AS coarse_level
   FROM um_activity""")
 oracle("hr_sleep_label", """SELECT Id, Date, CASE WHEN AvgHR > 80 THEN 'elevated' WHEN AvgHR > 60 THEN 'normal' ELSE 'low' END AS hr_level,
   CASE WHEN TotalSleepMinutes >= 420 THEN 'Good sleep' ELSE 'Low sleep' END AS sleep_level FROM md""", days="Date")

@@ -376,13 +376,18 @@ def _(spark, sf):
     return pipelines.master_imputed(given.roles(spark, sf))
 
 
+def _daily_roles(spark, sf) -> dict[str, DataFrame]:
+    """The three tables the daily master needs."""
+    return given.roles(spark, sf, ("daily_activity", "heartrate", "minute_sleep"))
+
+
 def _master(spark, sf) -> DataFrame:
-    return pipelines.master_daily(given.roles(spark, sf))
+    return pipelines.master_daily(_daily_roles(spark, sf))
 
 
 @query("master_daily")
 def _(spark, sf):
-    return pipelines.master_daily(given.roles(spark, sf), sleep_stage=True)
+    return pipelines.master_daily(_daily_roles(spark, sf), sleep_stage=True)
 
 
 @query("daily_cross_user_mean")
@@ -560,7 +565,7 @@ def _(spark, sf):
     steps = col("TotalSteps")
     return _user_matrix(spark, sf).select(
         "Id", cluster.activity_label(steps).alias("level"),
-        cluster.activity_label(steps, cluster.NOTEBOOK_CUTS).alias("notebook_level"))
+        cluster.activity_label(steps, cluster.COARSE_CUTS).alias("coarse_level"))
 
 
 @query("hr_sleep_label")

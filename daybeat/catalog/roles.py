@@ -108,8 +108,11 @@ def single_file(orders: DataFrame) -> DataFrame:
         F.when(k % 17 == 0, "n/a").otherwise((1 + k % 10).cast("string")).alias("Stress_Level"))
 
 
-def roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+ROLES = {"daily_activity": daily_activity, "heartrate": heartrate,
+         "hourly_intensities": hourly_intensities, "hourly_steps": hourly_steps,
+         "minute_sleep": minute_sleep}
+
+
+def roles(spark: SparkSession, sf_dir: str, names=tuple(ROLES)) -> dict[str, DataFrame]:
     events = table(spark, sf_dir, "events")
-    return {"daily_activity": daily_activity(events), "heartrate": heartrate(events),
-            "hourly_intensities": hourly_intensities(events), "hourly_steps": hourly_steps(events),
-            "minute_sleep": minute_sleep(events)}
+    return {name: ROLES[name](events) for name in names}

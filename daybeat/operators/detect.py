@@ -19,6 +19,7 @@ EXTREME_VALUES = {
     "Sleep": (10, 20, 30, 700, 750, 800, 15, 25, 710, 720),
 }
 TARGET = 90.0
+NO_DATA = "No device worn"
 
 def _whole_series():
     return Window.partitionBy()
@@ -129,7 +130,7 @@ def detect_sleep(master: DataFrame, lo: float = SLEEP_LIMITS[0], hi: float = SLE
                (col("resid_anom" if v4 else "resid_anomaly"), _sigma_text(sigma, v4))]
     if not v4:
         scored = scored.withColumn("no_data", flag(col("TotalSleepMinutes") == 0))
-        reasons.insert(0, (col("no_data"), "No device worn"))
+        reasons.insert(0, (col("no_data"), NO_DATA))
     return scored.withColumn("reason", joined_reasons(*reasons))
 
 

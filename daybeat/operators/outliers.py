@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import col, joined_reasons
 from ..functions.quantiles import exact_quantiles
 
-# Limits and moods of the stress analysis.
+# Limits, moods and texts of the stress analysis.
 STRESS_LEVEL, SLEEP_HOURS, ACTIVE_MINUTES, HEART_RATE = 7, 6, 60, 90
 STRESSED_MOODS = ("Sad", "Anxious", "Stressed", "Angry")
+LOW_SLEEP, HIGH_WORKLOAD, ELEVATED_HR, MOOD = "Low Sleep", "High Workload", "Elevated HR", "Mood: "
+NO_REASON = "Unknown Factor"
 REASON = "Reason for High Stress"
 
 
@@ -61,15 +63,15 @@ def high_stress_reasons(df: DataFrame) -> DataFrame:
         raise ValueError("no stress column")
     reasons = []
     if "Hours_Slept" in df.columns:
-        reasons.append((col("Hours_Slept") < SLEEP_HOURS, "Low Sleep"))
+        reasons.append((col("Hours_Slept") < SLEEP_HOURS, LOW_SLEEP))
     if "Active_Minutes" in df.columns:
-        reasons.append((col("Active_Minutes") > ACTIVE_MINUTES, "High Workload"))
+        reasons.append((col("Active_Minutes") > ACTIVE_MINUTES, HIGH_WORKLOAD))
     if "Heart_Rate (bpm)" in df.columns:
-        reasons.append((col("Heart_Rate (bpm)") > HEART_RATE, "Elevated HR"))
+        reasons.append((col("Heart_Rate (bpm)") > HEART_RATE, ELEVATED_HR))
     if "Mood" in df.columns:
-        reasons.append((col("Mood").isin(*STRESSED_MOODS), F.concat(F.lit("Mood: "), col("Mood"))))
+        reasons.append((col("Mood").isin(*STRESSED_MOODS), F.concat(F.lit(MOOD), col("Mood"))))
     shown = [c for c in ("User_ID", "Full Name", "Gender", stress, "Hours_Slept", "Active_Minutes")
              if c in df.columns]
     return (df.filter(F.expr(f"try_cast(`{stress}` AS double)") >= STRESS_LEVEL)
             .select(*[col(c) for c in shown],
-                    joined_reasons(*reasons, default="Unknown Factor").alias(REASON)))
+                    joined_reasons(*reasons, default=NO_REASON).alias(REASON)))

@@ -11,7 +11,11 @@ from ..functions.ordered import previous_value
 from ..functions.quantiles import exact_quantiles
 from ..session import one_row
 
+# Names of id columns and texts of the cleaning report.
 ID_NAMES = ("id", "user_id", "userid", "logid")
+NUMBERS_FILLED = "filled — interpolation"
+TEXTS_FILLED = "filled with 'Unknown'"
+TIMES_DROPPED = "rows with bad timestamps dropped"
 
 
 def _missing(df: DataFrame) -> Column:
@@ -159,9 +163,8 @@ def cleaning_actions(raw: dict[str, DataFrame]) -> DataFrame:
     for name, df in raw.items():
         numbers, texts = numeric_columns(df), text_columns(df)
         for c in df.columns:
-            action[name, c] = ("filled — interpolation" if c in numbers else
-                               "filled with 'Unknown'" if c in texts else
-                               "rows with bad timestamps dropped")
+            action[name, c] = (NUMBERS_FILLED if c in numbers else
+                               TEXTS_FILLED if c in texts else TIMES_DROPPED)
     known = F.create_map(*[F.lit(x) for (t, c), a in action.items() for x in (f"{t}|{c}", a)])
     return (null_summary_all(raw).filter("nulls > 0")
             .withColumn("action", known[F.concat_ws("|", "table", "column")]))

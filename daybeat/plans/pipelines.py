@@ -74,16 +74,16 @@ def preprocess_keyed(df: DataFrame, order: Sequence[str], key: str = "User_ID",
     logs = []
     if "Date" in df.columns:
         df = clean.normalise_utc(df)
-        logs.append("Date column converted to datetime and normalised to UTC.")
+        logs.append("Date: day-first text to UTC instants")
     numeric = numeric_columns(df, (key, *order))
     if key in df.columns:
         chunk = record_block(order[0]) if chunk is None else chunk
         gaps = _with_gaps(df, numeric)
         df = impute.interpolate_by_key(_as_double(df, numeric), key, order, gaps, chunk)
-        logs.append(f"Numeric columns interpolated per {key}, then carried forward and backward.")
+        logs.append(f"{', '.join(gaps) or 'no column'}: gaps filled per {key}")
     if "Workout_Type" in df.columns:
         df = clean.fill_constant(df, {"Workout_Type": clean.NO_WORKOUT})
-        logs.append("Workout_Type nulls filled with 'No Workout'.")
+        logs.append(f"Workout_Type: missing names become {clean.NO_WORKOUT}")
     return df, logs
 
 
