@@ -10,7 +10,7 @@ returns one row.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,12 +32,23 @@ class _Bracket:
     position: float     # wanted rank inside the bracket, may lie between two rows
     rows: int
     distinct: int
-    slack: float
+    accuracy: int
+    rank: float         # wanted rank in the whole column
 
     @property
     def share(self) -> float:
         return self.position / (self.rows - 1) if self.rows > 1 else 0.0
 
+    @property
+    def ends(self) -> list[float]:
+        slack = 2.0 / self.accuracy
+        return [max(self.share - slack, 0.0), min(self.share + slack, 1.0)]
+
+    def finer(self) -> _Bracket:
+        """The same rows with a tenfold sketch; past the finest one they are simply counted."""
+        fine = self.accuracy * 10
+        return replace(self, accuracy=fine, distinct=self.distinct if fine <= FINEST_ACCURACY else 0)
+
 
 def exact_quantiles(df: DataFrame, probs: dict[str, list[float]],
                     distinct_limit: int = DISTINCT_IN_ONE_TASK,
@@ -53,14 +64,13 @@ def exact_quantiles(df: DataFrame, probs: dict[str, list[float]],
     seen = one_row(df.agg(*[a for i, c in enumerate(names) for a in (
         F.count(col(c)).alias(f"n{i}"), F.approx_count_distinct(col(c)).alias(f"d{i}"))]))
     work = [_Bracket(c, j, col(c).cast("double"), p * (seen[f"n{i}"] - 1), seen[f"n{i}"],
-                     seen[f"d{i}"], 2.0 / accuracy)
+                     seen[f"d{i}"], accuracy, p * (seen[f"n{i}"] - 1))
             for i, c in enumerate(names) if seen[f"n{i}"] for j, p in enumerate(probs[c])]
     while work:
         row = one_row(df.agg(*[
             F.percentile(b.values, F.lit(b.share)).alias(f"q{i}") if b.distinct <= distinct_limit
-            else F.percentile_approx(b.values, F.array(
-                F.lit(max(b.share - b.slack, 0.0)), F.lit(min(b.share + b.slack, 1.0))),
-                F.lit(accuracy)).alias(f"q{i}")
+            else F.percentile_approx(b.values, F.array(*map(F.lit, b.ends)),
+                                     F.lit(b.accuracy)).alias(f"q{i}")
             for i, b in enumerate(work)]))
         wide = []
         for i, b in enumerate(work):
@@ -75,19 +85,20 @@ def exact_quantiles(df: DataFrame, probs: dict[str, list[float]],
 
 
 def _narrow(df: DataFrame, wide: list[tuple[_Bracket, float, float]]) -> list[_Bracket]:
-    inside = [F.when((b.values >= lo) & (b.values <= hi), b.values) for b, lo, hi in wide]
-    row = one_row(df.agg(*[a for i, (b, lo, _) in enumerate(wide) for a in (
-        F.count_if(b.values < lo).alias(f"below{i}"), F.count(inside[i]).alias(f"n{i}"),
+    whole = [col(b.column).cast("double") for b, _, _ in wide]
+    inside = [F.when((v >= lo) & (v <= hi), v) for v, (_, lo, hi) in zip(whole, wide)]
+    row = one_row(df.agg(*[a for i, (_, lo, _) in enumerate(wide) for a in (
+        F.count_if(whole[i] < lo).alias(f"below{i}"), F.count(inside[i]).alias(f"n{i}"),
         F.approx_count_distinct(inside[i]).alias(f"d{i}"))]))
     narrowed = []
     for i, (b, _, _) in enumerate(wide):
-        position = b.position - row[f"below{i}"]
-        if not 0 <= position <= row[f"n{i}"] - 1:      # sketch error larger than the slack
-            narrowed.append(_Bracket(b.column, b.index, b.values, b.position, b.rows,
-                                     b.distinct, b.slack * 4))
+        position, rows = b.rank - row[f"below{i}"], row[f"n{i}"]
+        # repeated values at both ends can keep a bracket from shrinking
+        if not 0 <= position <= rows - 1 or rows > 0.9 * b.rows:
+            narrowed.append(b.finer())
         else:
-            narrowed.append(_Bracket(b.column, b.index, inside[i], position, row[f"n{i}"],
-                                     min(row[f"d{i}"], row[f"n{i}"]), b.slack))
+            narrowed.append(_Bracket(b.column, b.index, inside[i], position, rows,
+                                     min(row[f"d{i}"], rows), b.accuracy, b.rank))
     return narrowed
 
 

@@ -12,11 +12,12 @@ def table(spark, kind: str):
     rnd = np.random.default_rng(7)
     values = {"uniform": rnd.uniform(0, 1, 20_000), "heavy ties": rnd.integers(0, 3, 20_000) * 1.0,
               "mixed": np.concatenate([np.full(9_000, 5.0), rnd.normal(5, 1e-3, 11_000)]),
+              "two lumps": np.concatenate([np.zeros(9_990), np.ones(9_990), rnd.uniform(0, 1, 20)]),
               "tails": rnd.standard_cauchy(20_000)}[kind]
     return values, spark.createDataFrame([(float(v),) for v in values], "v double")
 
 
-@pytest.mark.parametrize("kind", ["uniform", "heavy ties", "mixed", "tails"])
+@pytest.mark.parametrize("kind", ["uniform", "heavy ties", "mixed", "two lumps", "tails"])
 @pytest.mark.parametrize("limit, accuracy", [(200_000, 10_000), (50, 200)])
 def test_whole_column(spark, kind, limit, accuracy):
     values, df = table(spark, kind)
