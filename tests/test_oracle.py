@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from daybeat.catalog.oracle import ORACLES
+from daybeat.catalog.queries import QUERIES
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 NO_SQL = {"kmeans", "kmeans_elbow", "pca_2d"}
 
 
@@ -20,6 +21,10 @@ def test_only_model_fits_lack_sql():
     assert not set(ORACLES) - set(QUERIES)
 
 
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SF), con.sql(ORACLES[name])) is None
