@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, quality_rules
+from . import (byte_bpe, html_text, minhash, mixing, passages, quality_model, quality_rules, url_filters,
+               vector_links)
 from ..session import configure
 from .arrow import find_package
 from .oracle import ORACLES
@@ -34,6 +35,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_minhash")
+def _minhash(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=4)
+
+
+@query("op2_quality_model")
+def _quality_model(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = quality_model.classify(docs, table(spark, sf, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op3_html_text")
+def _html_text(spark, sf):
+    found = html_text.extract(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op4_vector_links")
+def _vector_links(spark, sf):
+    return vector_links.links(table(spark, sf, "embeddings"))
+
+
+@query("op5_mixing")
+def _mixing(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_url_filters")
+def _url_filters(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return url_filters.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op7_byte_bpe")
 def _byte_bpe(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -43,6 +80,11 @@ def _byte_bpe(spark, sf):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op8_passages")
+def _passages(spark, sf):
+    return passages.repeated_passages(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query("op10_quality_rules")
 def _quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")

@@ -41,3 +41,83 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
     OR 10 * n_letterless > 3 * n_words) AS kept
 FROM b
 """
+
+ORACLES["op5_mixing"] = rf"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+r AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce('=' || source, 'null') AS source_key, source,
+    len(regexp_extract_all(text, '{WORD}'))::BIGINT AS size,
+    -ln(1.0::DOUBLE - ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496::DOUBLE)
+      / greatest(0.05::DOUBLE, 1.0::DOUBLE - 4.0::DOUBLE * CASE WHEN length(text) > 0 THEN
+          (length(text) - length(translate(text, '#*$%&|<>!', '')))::DOUBLE / length(text) ELSE 0 END) AS key
+  FROM t),
+z AS (SELECT source_key, source, sum(size)::BIGINT AS source_size FROM r GROUP BY ALL),
+w AS (
+  SELECT *, [1.0, 2.0, 3.0][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)]::DOUBLE AS weight,
+    (3 * source_size)::DOUBLE AS cap, sum(source_size) OVER ()::DOUBLE AS total FROM z),
+l AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+    / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+a AS (
+  SELECT source_key, source_size, CASE WHEN lvl IS NULL THEN cap ELSE least(cap, lvl * weight) END AS target
+  FROM (SELECT *, min(level) FILTER (level * weight <= cap) OVER () AS lvl FROM l)),
+e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size))::BIGINT ELSE 0 END AS epochs FROM a),
+p AS (
+  SELECT r.*, e.source_size, target, epochs, greatest(target - epochs * e.source_size, 0.0) AS rest,
+    coalesce(sum(size) OVER (PARTITION BY source_key ORDER BY key, doc_id, size, row_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
+  FROM r JOIN e USING (source_key))
+SELECT doc_id, size, source_size, target,
+  (size * (epochs + CASE WHEN 2 * so_far + size <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM p
+"""
+
+# Components over links (a, b) of nodes (id): the smallest id that links reach.
+_REACH = """
+reach AS (
+  SELECT id, id AS other FROM nodes
+  UNION
+  SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a)
+"""
+
+ORACLES["op1_minhash"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+p AS (SELECT id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS k FROM t WHERE len(w) > 0),
+s AS (SELECT DISTINCT id, array_to_string(w[k:k + 3], ' ') AS shingle FROM p),
+n AS (SELECT id, count(*) AS size FROM s GROUP BY id),
+both_in AS (
+  SELECT a.id AS a, b.id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.id <> b.id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM both_in JOIN n x ON x.id = a JOIN n y ON y.id = b
+  WHERE 100 * common >= 80 * (x.size + y.size - common)),
+nodes AS (SELECT DISTINCT id FROM t),
+{_REACH},
+c AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT t.id AS doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id, t.id = component_id AS kept
+FROM t LEFT JOIN n USING (id) JOIN c USING (id)
+"""
+
+ORACLES["op4_vector_links"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS row_id, vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings),
+fit AS (
+  SELECT * FROM t WHERE v IS NOT NULL AND label IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.row_id, a.id AS a, b.id AS b FROM fit a JOIN fit b
+    ON a.label = b.label AND a.row_id <> b.row_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+links AS (SELECT DISTINCT a, b FROM pairs),
+nodes AS (SELECT DISTINCT id FROM t),
+{_REACH},
+c AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+k AS (SELECT row_id, count(*) AS n_links FROM pairs GROUP BY row_id)
+SELECT t.id AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, t.id = component_id AS kept
+FROM t LEFT JOIN k USING (row_id) JOIN c USING (id)
+"""
