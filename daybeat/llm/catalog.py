@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (byte_bpe, html_text, minhash, mixing, passages, quality_model, quality_rules, url_filters,
-               vector_links)
+from . import (byte_bpe, html_text, lm_score, minhash, mixing, passages, quality_model, quality_rules,
+               url_filters, vector_links)
 from ..session import configure
 from .arrow import find_package
 from .oracle import ORACLES
@@ -85,6 +85,11 @@ def _passages(spark, sf):
     return passages.repeated_passages(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+@query("op9_lm_score")
+def _lm_score(spark, sf):
+    return lm_score.score(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query("op10_quality_rules")
 def _quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")

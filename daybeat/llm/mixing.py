@@ -49,9 +49,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
     Sources by code point, null last, weigh ``weights`` in turn and share the sum of all sizes. What
     a source cannot take beyond ``most`` times its size goes to the others by weight, until none is
-    above. With sources in order of what they can take per weight, that is: fill them while the share
-    per weight of what is left exceeds it; the others get the share per weight at the first that can
-    take it. The windows run over one row per source.
+    above. With sources in order of what they can take per weight, that is: fill them one by one; what
+    is left per weight of the others rises until the first that can take its share, and falls from
+    there on, so the highest value is the level of all that are not full. The windows run over one row
+    per source.
     """
     turn = (F.row_number().over(Window.orderBy(col("source").asc_nulls_last())) - 1) % len(weights)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1)
@@ -62,12 +63,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     all_rows = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     total = F.sum(col("source_size").cast("double")).over(all_rows)
     level = (col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    fits = F.when(col("level") * col("weight") <= col("cap"), col("level"))
     return (sizes.withColumn("weight", weight).withColumn("cap", can_take).withColumn("total", total)
             .withColumn("level", level)
-            .withColumn("level", F.min(fits).over(all_rows))
-            .select("source", "source_size", F.coalesce(
-                F.least(col("cap"), col("level") * col("weight")), col("cap")).alias("target")))
+            .withColumn("level", F.max("level").over(all_rows))
+            .select("source", "source_size", F.least(col("cap"), col("level") * col("weight")).alias("target")))
 
 
 def _below(rows: DataFrame, by: list[str], level: str) -> DataFrame:

@@ -61,8 +61,7 @@ l AS (
     / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 a AS (
-  SELECT source_key, source_size, CASE WHEN lvl IS NULL THEN cap ELSE least(cap, lvl * weight) END AS target
-  FROM (SELECT *, min(level) FILTER (level * weight <= cap) OVER () AS lvl FROM l)),
+  SELECT source_key, source_size, least(cap, max(level) OVER () * weight) AS target FROM l),
 e AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size))::BIGINT ELSE 0 END AS epochs FROM a),
 p AS (

@@ -269,3 +269,10 @@ def classify(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     return (score(docs, vectors, network, text)
             .withColumn("held_out", F.coalesce(remainder(id) == 1, F.lit(False)))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose predicted label is 1, columns unchanged."""
+    vectors, network = train(docs, labels, id, text)
+    judged = score(docs, vectors, network, text, name="__score")
+    return judged.filter(F.col("__score") >= 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
