@@ -37,7 +37,7 @@ col = F.col
 PAIRS, WORDS, QUESTIONS, SUMS = range(4)
 # Arrays of a row: words as upper and lower parts, places of texts in ``texts``, counts and sums.
 _ARRAYS = ("first_high", "first_low", "second_high", "second_low", "place", "n", "own_first", "own_second",
-           "texts", "value", "backed")
+           "texts", "value", "backed", "ids", "has_id", "words")
 SCHEMA = "kind byte, bucket int, " + ", ".join(f"{a} binary" for a in _ARRAYS)
 
 
@@ -48,7 +48,7 @@ def hashes(raw: bytes | None) -> np.ndarray:
 
 def _packed(x: np.ndarray) -> bytes:
     """Type, then the numbers compressed; whole numbers in the smallest type that holds them."""
-    if x.dtype.kind != "f":
+    if x.dtype.kind != "f" and x.min(initial=0) >= 0:
         x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
     return x.dtype.str[1:].encode() + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x))
 
@@ -94,16 +94,20 @@ def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed(words) % np.uint64(buckets)).astype(np.int64)
 
 
-def exploded(uids: np.ndarray, texts: list[np.ndarray], buckets: int, hot: np.ndarray) -> list[dict]:
+def exploded(uids: np.ndarray, ids: list[int | None], texts: list[np.ndarray], buckets: int,
+             hot: np.ndarray) -> list[dict]:
     """Rows of the first join for some texts: distinct bigrams per text, word counts, starts of the sums.
 
+    The starts hold the ids and sizes of the texts; all else is about ``uids``, one for each row.
+
     The first word of a text has no context: it asks for its word count straight away.
     """
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     words = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
     place = np.repeat(np.arange(len(texts)), sizes)
     rows = [_row(SUMS, uids[0] % buckets if len(uids) else 0, texts=uids, value=np.zeros(len(uids)),
-                 backed=np.zeros(len(uids), np.int64))]
+                 backed=np.zeros(len(uids), np.int64), words=sizes, has_id=np.array([i is not None for i in ids]),
+                 ids=np.array([i or 0 for i in ids], np.int64))]
     if not len(words):
         return rows
     # Counts of words in their text, and as contexts there.
@@ -267,14 +271,13 @@ def score(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """
     size, hot, hot_counts = frequent_words(df, text)
     buckets = max(1, -(-size // PARTITION_WORDS))
-    # The number of a row is the same whenever its task runs again on the same input.
-    rows = df.select(col(f"`{id}`").alias("id"), col(f"`{text}`").alias("text")).withColumn(
-        "uid", F.monotonically_increasing_id())
+    rows = df.select(col(f"`{id}`").cast("long").alias("id"), col(f"`{text}`").alias("text"))
+    rows = rows.withColumn("uid", F.monotonically_increasing_id())
 
     def explode(batches):
         for part, texts in _word_batches(batches, "text"):
-            uids = part.column(part.schema.get_field_index("uid")).to_numpy()
-            yield _batch(exploded(uids, texts, buckets, hot))
+            uids, ids = (part.column(part.schema.get_field_index(c)) for c in ("uid", "id"))
+            yield _batch(exploded(uids.to_numpy(), ids.to_pylist(), texts, buckets, hot))
 
     def first(bucket: int, group: list[dict]) -> list[dict]:
         pairs = [r for r in group if r["kind"] == PAIRS]
@@ -288,18 +291,19 @@ def score(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
     def sums(batches):
         for batch in batches:
-            found = [_arrays(r) for r in batch.to_pylist()]
-            columns = [np.concatenate([f[k] for f in found]).astype(kind)
-                       for k, kind in (("texts", np.int64), ("value", np.float64), ("backed", np.int64))]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["uid", "value", "backed"])
-
-    parts = _join(_join(rows.select("uid", "text").mapInArrow(explode, SCHEMA), first), second)
-    totals = (parts.select(*[col(c) for c in ("kind", "bucket", *_ARRAYS)]).mapInArrow(sums, "uid long, value double, backed long")
-              .groupBy("uid").agg(F.sum("value").alias("value"), F.sum("backed").alias("backed")))
-    words = F.coalesce(F.regexp_count(col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    rest = F.lit(size) - col("n_words")
-    log_score = col("value") - col("backed") * F.log(F.greatest(rest, F.lit(1)).cast("double"))
-    return (rows.select("uid", "id", words.alias("n_words")).join(totals, "uid")
-            .withColumn("log_score", log_score)
+            for found in map(_arrays, batch.to_pylist()):
+                n = len(found["texts"])
+                ids, words = found.get("ids", np.zeros(n)), found.get("words", np.zeros(n))
+                missing = ~found["has_id"].astype(bool) if "has_id" in found else np.ones(n, bool)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found["texts"].astype(np.int64)), pa.array(found["value"].astype(np.float64)),
+                     pa.array(found["backed"].astype(np.int64)), pa.array(ids.astype(np.int64), mask=missing),
+                     pa.array(words.astype(np.int64))], names=["uid", "value", "backed", "id", "words"])
+
+    parts = _join(_join(rows.mapInArrow(explode, SCHEMA), first), second)
+    totals = parts.mapInArrow(sums, "uid long, value double, backed long, id long, words long").groupBy("uid").agg(
+        F.sum("value").alias("value"), F.sum("backed").alias("backed"), F.max("id").alias("id"), F.sum("words").alias("n_words"))
+    rest = F.greatest(F.lit(size) - col("n_words"), F.lit(1)).cast("double")
+    return (totals.withColumn("log_score", col("value") - col("backed") * F.log(rest))
             .select(col("id").alias(id), "n_words", col("backed").alias("n_backed_off"), "log_score",
                     F.when(col("n_words") > 0, col("log_score") / col("n_words")).alias("mean_log_score")))

@@ -82,9 +82,10 @@ def _below(rows: DataFrame, by: list[str], level: str) -> DataFrame:
 
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
         weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS,
-        most: int = MOST_EPOCHS) -> DataFrame:
+        most: int = MOST_EPOCHS, carried: tuple[str, ...] = ()) -> DataFrame:
     """(id, source, size, source_size, target, taken, epochs, extra) for every row of ``df``.
 
+    Columns named in ``carried`` come along.
     ``taken`` are the words the mix takes of the row: its size times ``epochs`` complete passes, once
     more if ``extra``. The row on the cut is taken if that brings the source nearer to its target.
     Null and empty texts have size 0 and are taken 0 times; sources of size 0 have target 0; an empty
@@ -92,8 +93,9 @@ def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "so
     rows may stand for each other. Other columns of ``df`` do not matter.
     """
     weight = symbol_weight(text) if weight is None else weight
-    rows = df.select(col(id).alias("id"), col(source).alias("source"), words(text).alias("size"),
-                     (-F.log(F.lit(1.0) - uniform(col(id))) / weight).alias("key"))
+    rows = df.select(col(f"`{id}`").alias("id"), col(f"`{source}`").alias("source"), words(text).alias("size"),
+                     (-F.log(F.lit(1.0) - uniform(col(f"`{id}`"))) / weight).alias("key"),
+                     *[col(f"`{c}`") for c in carried])
     # Keys of weight 1 fall evenly into (0, 1); of lower weights, more towards 1.
     place = F.lit(1.0) - F.exp(-col("key"))
     fine = F.least(F.floor(place * BUCKETS * BUCKETS), F.lit(BUCKETS * BUCKETS - 1)).cast("long")
@@ -128,7 +130,7 @@ def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "so
     taken = col("size") * (col("epochs") + col("extra").cast("long"))
     return clear.unionByName(sharp).select(
         col("id").alias(id), col("source").alias(source), "size", "source_size", "target",
-        taken.alias("taken"), "epochs", "extra")
+        taken.alias("taken"), "epochs", "extra", *carried)
 
 
 def mixed(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
@@ -138,7 +140,7 @@ def mixed(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     Rows of size 0 go. Equal rows share what the mix takes of them, the first ones once more.
     """
     row = F.xxhash64(*[col(c) for c in (id, text, source)])
-    taken = (mix(df.withColumn("__row", row), "__row", text, source, **options)
+    taken = (mix(df.withColumn("__row", row), id, text, source, carried=("__row",), **options)
              .groupBy("__row").agg(
                  F.sum(F.when(col("size") > 0, col("epochs") + col("extra").cast("long"))).alias("__all"),
                  F.count("*").alias("__equal")))

@@ -146,12 +146,12 @@ def judge(df: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "u
     pages = (pages.withColumn("rule", longest_rule(col("host"), col("path"), rules))
              .withColumn("__ruled", F.when(col("rule").isNotNull(), F.when(
                  col("rule").isin(blocked) if blocked else F.lit(False), "block").otherwise("allow")))
-             .withColumn("segments", segments(col("path"))))
-    examples = pages.select("host", "segments", col("__ruled").isNotNull().cast("long").alias("labelled"),
+             .withColumn("__segments", segments(col("path"))))
+    examples = pages.select("host", col("__segments").alias("segments"), col("__ruled").isNotNull().cast("long").alias("labelled"),
                             F.coalesce(col("__ruled") == "block", F.lit(False)).cast("long").alias("blocked"))
-    verdicts = keep(rejected(templates(examples)))
-    return (pages.withColumn("shape", F.array_join("segments", "/")).join(verdicts, ["host", "shape"])
+    verdicts = keep(rejected(templates(examples)).withColumnRenamed("shape", "__shape"))
+    return (pages.withColumn("__shape", F.array_join("__segments", "/")).join(verdicts, ["host", "__shape"])
             .withColumn("verdict", F.coalesce(
                 col("__ruled"), F.when(col("purity") >= reject, "block").otherwise("allow")))
-            .select(*[c for c in df.columns if c not in new], *new))
+            .select(*[col(f"`{c}`") for c in df.columns if c not in new], *new))
 

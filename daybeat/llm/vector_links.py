@@ -54,10 +54,15 @@ def space(dimensions: int, cosine: float, grid: int) -> Space:
     return Space(q * np.sign(np.diag(r)), 2 - 2 * cosine, grid)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two each, which loses no digit, so that squares neither overflow nor vanish."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def as_units(vectors: np.ndarray) -> np.ndarray:
-    """Unit vectors in double precision; large and tiny ones are scaled first."""
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+    """Unit vectors in double precision."""
+    near_one = scaled(vectors)
+    return near_one / np.linalg.norm(near_one, axis=1, keepdims=True)
 
 
 def cells(x: np.ndarray, radius: float, grid: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +120,7 @@ def compare(ids: np.ndarray, nodes: np.ndarray, copies: np.ndarray, home: np.nda
     A pair counts in the cell that is home to its later row (by id and node), in the first block where
     it is close, and where two different tiles meet (``across``) only between them.
     """
-    units = as_units(x)
+    units, x = as_units(x), scaled(x)
     norms = np.sqrt((x * x).sum(axis=1))
     turned, parts = own_space.rotated(units), own_space.blocks
     limit = [own_space.part(p) + _SLACK / 10 for p in parts]
@@ -167,9 +172,8 @@ def _compared(dealt: DataFrame, spaces: dict[int, Space], cosine: float) -> Data
         order = order[keep_row]
         x = np.array(rows.column("vector").take(pa.array(order)).to_pylist(), np.float64).reshape(len(order), -1)
         copies, tiles = (rows.column(c).to_numpy()[order] for c in ("copies", "tile"))
-        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
-            count, root = compare(ids[order], nodes[order], copies, home[order], tiles, x, spaces[length], block,
-                                  left != right, cosine)
+        count, root = compare(ids[order], nodes[order], copies, home[order], tiles, x, spaces[length], block,
+                              left != right, cosine)
         found = np.flatnonzero(count)
         out = [ids[order][found], nodes[order][found], count[found], ids[order][root[found]]]
         return pa.table(dict(zip(("id", "node", "links", "root"), map(pa.array, out))))
