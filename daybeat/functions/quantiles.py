@@ -1,105 +1,133 @@
 """Exact, linearly interpolated quantiles of whole columns and of groups.
 
-The built-in ``percentile`` counts distinct values in one task. That is right for steps,
-minutes or beats, but not for a continuous column of a very large table. Such columns are
-first narrowed with the mergeable ``percentile_approx`` sketch to a bracket that surely
-holds the wanted rank; only the values inside the bracket reach ``percentile``. Every job
-returns one row.
+Whole columns are counted down: the range that holds a wanted rank is divided into equal buckets,
+all columns and ranks in one pass, and the bucket that the rank falls into is the next range. Counts
+merge on the map side, and a pass gives the driver a fixed number of rows whatever the size of the
+table. It ends when a bucket holds one value, or few enough rows to look at them.
+
+Groups are first narrowed with the mergeable ``percentile_approx`` sketch to a bracket that surely
+holds the wanted rank; only the values inside the bracket are collected.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import keep, one_row
 from .columns import col
 
+BUCKETS = 2_048
+# Rows of a bucket that one row of a result may list.
+FEW_ROWS = 2_048
 SKETCH_ACCURACY = 10_000
-DISTINCT_IN_ONE_TASK = 200_000
 SMALL_GROUP = 1_000
 FINEST_ACCURACY = 1_000_000
 VALUES_IN_ONE_GROUP = 1_000_000
+_LARGEST = 1.7976931348623157e308
 
 
-@dataclass
-class _Bracket:
+@dataclass(frozen=True)
+class _Range:
+    """Values of a column from ``lo`` to ``hi``; ``below`` values of it are smaller, ``rows`` inside."""
     column: str
-    index: int
-    values: Column      # the column, null outside the bracket
-    position: float     # wanted rank inside the bracket, may lie between two rows
+    lo: float
+    hi: float
+    below: int
     rows: int
-    distinct: int
-    accuracy: int
-    rank: float         # wanted rank in the whole column
 
-    @property
-    def share(self) -> float:
-        return self.position / (self.rows - 1) if self.rows > 1 else 0.0
+    def bucket(self, v: Column) -> Column:
+        """Number of the bucket, in order of values; the ends of a range never share one."""
+        width = self.hi - self.lo
+        place = ((v - F.lit(self.lo)) / F.lit(width) if math.isfinite(width)
+                 else (v / 2 - F.lit(self.lo / 2)) / F.lit(self.hi / 2 - self.lo / 2)) * BUCKETS
+        inside = (v >= F.lit(self.lo)) & (v <= F.lit(self.hi))
+        return F.when(inside, F.least(F.floor(place), F.lit(BUCKETS - 1)).cast("int"))
 
-    @property
-    def ends(self) -> list[float]:
-        slack = 2.0 / self.accuracy
-        return [max(self.share - slack, 0.0), min(self.share + slack, 1.0)]
 
-    def finer(self) -> _Bracket:
-        """The same rows with a tenfold sketch; past the finest one they are simply counted."""
-        fine = self.accuracy * 10
-        return replace(self, accuracy=fine, distinct=self.distinct if fine <= FINEST_ACCURACY else 0)
+def _number(name: str) -> Column:
+    """The column as finite doubles: NaN counts as missing, infinities as the largest numbers."""
+    v = col(name).cast("double")
+    return F.when(v.isNotNull() & ~F.isnan(v), F.greatest(F.least(v, F.lit(_LARGEST)), F.lit(-_LARGEST)))
 
 
-def exact_quantiles(df: DataFrame, probs: dict[str, list[float]],
-                    distinct_limit: int = DISTINCT_IN_ONE_TASK,
-                    accuracy: int = SKETCH_ACCURACY) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, probs: dict[str, list[float]]) -> dict[str, list[float | None]]:
     """Quantiles per column, e.g. ``{"v": [0.25, 0.75]}`` -> ``{"v": [2.0, 9.5]}``.
 
-    Columns without values give ``None``.
+    Columns without values give ``None``; NaN counts as missing.
     """
     if not probs:
         return {}
-    found: dict[str, list[float | None]] = {c: [None] * len(p) for c, p in probs.items()}
     names = list(probs)
     seen = one_row(df.agg(*[a for i, c in enumerate(names) for a in (
-        F.count(col(c)).alias(f"n{i}"), F.approx_count_distinct(col(c)).alias(f"d{i}"))]))
-    work = [_Bracket(c, j, col(c).cast("double"), p * (seen[f"n{i}"] - 1), seen[f"n{i}"],
-                     seen[f"d{i}"], accuracy, p * (seen[f"n{i}"] - 1))
-            for i, c in enumerate(names) if seen[f"n{i}"] for j, p in enumerate(probs[c])]
-    while work:
-        row = one_row(df.agg(*[
-            F.percentile(b.values, F.lit(b.share)).alias(f"q{i}") if b.distinct <= distinct_limit
-            else F.percentile_approx(b.values, F.array(*map(F.lit, b.ends)),
-                                     F.lit(b.accuracy)).alias(f"q{i}")
-            for i, b in enumerate(work)]))
-        wide = []
-        for i, b in enumerate(work):
-            if b.distinct <= distinct_limit:
-                found[b.column][b.index] = row[f"q{i}"]
-            elif row[f"q{i}"][0] == row[f"q{i}"][1]:
-                found[b.column][b.index] = row[f"q{i}"][0]
-            else:
-                wide.append((b, *row[f"q{i}"]))
-        work = _narrow(df, wide) if wide else []
-    return found
-
-
-def _narrow(df: DataFrame, wide: list[tuple[_Bracket, float, float]]) -> list[_Bracket]:
-    whole = [col(b.column).cast("double") for b, _, _ in wide]
-    inside = [F.when((v >= lo) & (v <= hi), v) for v, (_, lo, hi) in zip(whole, wide)]
-    row = one_row(df.agg(*[a for i, (_, lo, _) in enumerate(wide) for a in (
-        F.count_if(whole[i] < lo).alias(f"below{i}"), F.count(inside[i]).alias(f"n{i}"),
-        F.approx_count_distinct(inside[i]).alias(f"d{i}"))]))
-    narrowed = []
-    for i, (b, _, _) in enumerate(wide):
-        position, rows = b.rank - row[f"below{i}"], row[f"n{i}"]
-        # repeated values at both ends can keep a bracket from shrinking
-        if not 0 <= position <= rows - 1 or rows > 0.9 * b.rows:
-            narrowed.append(b.finer())
-        else:
-            narrowed.append(_Bracket(b.column, b.index, inside[i], position, rows,
-                                     min(row[f"d{i}"], rows), b.accuracy, b.rank))
-    return narrowed
+        F.count(_number(c)).alias(f"n{i}"), F.min(_number(c)).alias(f"lo{i}"), F.max(_number(c)).alias(f"hi{i}"))]))
+    whole = {c: _Range(c, seen[f"lo{i}"], seen[f"hi{i}"], 0, seen[f"n{i}"])
+             for i, c in enumerate(names) if seen[f"n{i}"]}
+    places = {(c, p): p * (whole[c].rows - 1) for c in whole for p in probs[c]}
+    ranks = {(c, r) for (c, _), at in places.items() for r in (math.floor(at), math.ceil(at))}
+    values = _at_ranks(df, {(c, r): whole[c] for c, r in ranks})
+
+    def quantile(c: str, p: float) -> float | None:
+        if c not in whole:
+            return None
+        at = places[c, p]
+        low, high = values[c, math.floor(at)], values[c, math.ceil(at)]
+        return low if low == high else low + (high - low) * (at - math.floor(at))
+
+    return {c: [quantile(c, p) for p in probs[c]] for c in names}
+
+
+def _at_ranks(df: DataFrame, open_ranks: dict[tuple[str, int], _Range]) -> dict[tuple[str, int], float]:
+    """The value at every (column, rank), counted down from the given ranges."""
+    found: dict[tuple[str, int], float] = {}
+    while True:
+        for target, r in open_ranks.items():
+            if r.lo == r.hi:
+                found[target] = math.copysign(math.inf, r.lo) if abs(r.lo) == _LARGEST else r.lo
+        open_ranks = {t: r for t, r in open_ranks.items() if t not in found}
+        if not open_ranks:
+            return found
+        ranges = sorted(set(open_ranks.values()), key=lambda r: (r.column, r.lo, r.below))
+        few = [r for r in ranges if r.rows <= FEW_ROWS]
+        listed = _listed(df, few) if few else {}
+        counted = _counted(df, [r for r in ranges if r.rows > FEW_ROWS])
+        for (c, rank), r in list(open_ranks.items()):
+            if r in listed:
+                v = listed[r][rank - r.below]
+                open_ranks[c, rank] = _Range(c, v, v, rank, 1)
+                continue
+            below = r.below
+            for lo, hi, rows in counted[r]:
+                if rank < below + rows:
+                    open_ranks[c, rank] = _Range(c, lo, hi, below, rows)
+                    break
+                below += rows
+
+
+def _listed(df: DataFrame, ranges: list[_Range]) -> dict[_Range, list[float]]:
+    """The values of ranges with few rows, in order."""
+    def inside(r: _Range) -> Column:
+        v = _number(r.column)
+        return F.when((v >= F.lit(r.lo)) & (v <= F.lit(r.hi)), v)
+    row = one_row(df.agg(*[F.sort_array(F.collect_list(inside(r))).alias(f"v{i}") for i, r in enumerate(ranges)]))
+    return {r: row[f"v{i}"] for i, r in enumerate(ranges)}
+
+
+def _counted(df: DataFrame, ranges: list[_Range]) -> dict[_Range, list[tuple[float, float, int]]]:
+    """Per range its non-empty buckets in order: smallest and largest value, rows."""
+    if not ranges:
+        return {}
+    places = F.array(*[F.struct(F.lit(i).alias("range"), r.bucket(_number(r.column)).alias("bucket"),
+                                _number(r.column).alias("v")) for i, r in enumerate(ranges)])
+    rows = (df.select(F.inline(places)).filter(F.col("bucket").isNotNull()).groupBy("range", "bucket")
+            .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("rows")).collect())
+    out: dict[_Range, list[tuple[float, float, int]]] = {r: [] for r in ranges}
+    for row in sorted(rows, key=lambda x: (x.range, x.bucket)):
+        out[ranges[row.range]].append((row.lo, row.hi, row.rows))
+    return out
 
 
 def group_brackets(values: dict[str, Column], p: float,

@@ -18,10 +18,12 @@ def table(spark, kind: str):
 
 
 @pytest.mark.parametrize("kind", ["uniform", "heavy ties", "mixed", "two lumps", "tails"])
-@pytest.mark.parametrize("limit, accuracy", [(200_000, 10_000), (50, 200)])
-def test_whole_column(spark, kind, limit, accuracy):
+@pytest.mark.parametrize("buckets, few", [(2_048, 2_048), (7, 3)])
+def test_whole_column(spark, monkeypatch, kind, buckets, few):
+    monkeypatch.setattr(quantiles, "BUCKETS", buckets)
+    monkeypatch.setattr(quantiles, "FEW_ROWS", few)
     values, df = table(spark, kind)
-    got = exact_quantiles(df, {"v": PROBS}, limit, accuracy)["v"]
+    got = exact_quantiles(df, {"v": PROBS})["v"]
     np.testing.assert_allclose(got, np.quantile(values, PROBS), rtol=1e-12, atol=1e-12)
 
 
@@ -30,6 +32,14 @@ def test_empty_and_single(spark):
     assert exact_quantiles(df, {"a": [0.5], "b": [0.25, 0.5]}) == {"a": [None], "b": [4.0, 4.0]}
 
 
+def test_extreme_numbers(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 1)
+    inf, nan = float("inf"), float("nan")
+    values = [-inf, -1.7e308, -1.0, -5e-324, 0.0, 5e-324, 1.0, 1.7e308, inf, nan]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert exact_quantiles(df, {"v": [k / 8 for k in range(9)]})["v"] == values[:9]
+
+
 @pytest.mark.parametrize("kind", ["uniform", "heavy ties", "mixed", "tails"])
 @pytest.mark.parametrize("p", [0.25, 0.5])
 def test_groups_of_all_sizes(spark, monkeypatch, kind, p):
