@@ -10,8 +10,9 @@ from ..functions.columns import col, text_columns
 from ..functions.ordered import carry_forward
 
 # The text formats of the tracker exports.
-EXPORT_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy")
-DAY_FIRST_FORMATS = ("d/M/yyyy", "d-M-yyyy")
+EXPORT_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy", "M/d/yyyy h:mm a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yy")
+DAY_FIRST_FORMATS = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d-M-yyyy H:mm:ss",
+                     "d-M-yyyy H:mm", "d.M.yyyy H:mm:ss", "d.M.yyyy H:mm", "d/M/yy", "d-M-yy", "d.M.yy")
 
 UNKNOWN = "Unknown"
 NO_WORKOUT = "No Workout"
@@ -22,7 +23,8 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def _parsed(c: Column, formats: Sequence[str]) -> Column:
+def parsed(c: Column, formats: Sequence[str]) -> Column:
+    """Text to a timestamp by the first format that fits, else ISO, else null."""
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats], F.try_to_timestamp(c))
 
 
@@ -30,7 +32,7 @@ def parse_timestamps(df: DataFrame, cols: Sequence[str],
                      formats: Sequence[str] = EXPORT_FORMATS) -> DataFrame:
     """Text to zone-less timestamps, trying the formats and then ISO row by row; bad text -> null."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    new = {c: (_parsed(col(c), formats) if isinstance(types[c], T.StringType) else col(c))
+    new = {c: (parsed(col(c), formats) if isinstance(types[c], T.StringType) else col(c))
            .cast("timestamp_ntz") for c in cols if c in types}
     return df.withColumns(new)
 
@@ -42,7 +44,7 @@ def drop_invalid_timestamps(df: DataFrame, column: str) -> DataFrame:
 
 def normalise_utc(df: DataFrame, column: str = "Date") -> DataFrame:
     """Day-first text to an instant in UTC (the session zone); bad text -> null."""
-    return df.withColumn(column, _parsed(col(column), DAY_FIRST_FORMATS))
+    return df.withColumn(column, parsed(col(column), DAY_FIRST_FORMATS))
 
 
 def date_like_columns(df: DataFrame) -> list[str]:
@@ -53,7 +55,7 @@ def parse_dates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Day-first text to dates; bad text -> null."""
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns({
-        c: (_parsed(col(c), DAY_FIRST_FORMATS) if isinstance(types[c], T.StringType) else col(c))
+        c: (parsed(col(c), DAY_FIRST_FORMATS) if isinstance(types[c], T.StringType) else col(c))
         .cast("date") for c in cols})
 
 

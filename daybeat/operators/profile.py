@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import col, first_column, numeric_columns, text_columns
 from ..functions.ordered import previous_value
 from ..functions.quantiles import exact_quantiles
 from ..session import one_row
+from .clean import EXPORT_FORMATS, parsed
 
 # Names of id columns and texts of the cleaning report.
 ID_NAMES = ("id", "user_id", "userid", "logid")
@@ -48,11 +49,17 @@ def null_summary_all(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def describe_table(df: DataFrame) -> DataFrame:
-    """One row per numeric or text column: count, unique, top, freq, mean, std, min, quartiles, max.
+    """One row per column: count, unique, top, freq, mean, std, min, quartiles, max.
 
-    Numbers have no unique/top/freq and texts no moments. Text frequencies come from a
+    Numbers have no unique/top/freq; texts and booleans (True, False) no moments. Days and times are
+    seconds since 1970 without a std. Columns of other types are left out. Text frequencies come from a
     two-level count (per value, then per column), so no task holds all values of a column.
     """
+    times = [f.name for f in df.schema.fields
+             if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    booleans = [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
+    df = df.withColumns({c: F.unix_micros(col(c).cast("timestamp")) / F.lit(1e6) for c in times} | {
+        c: F.initcap(col(c).cast("string")) for c in booleans})
     numbers, texts = numeric_columns(df), text_columns(df)
     parts = []
     if numbers:
@@ -61,7 +68,8 @@ def describe_table(df: DataFrame) -> DataFrame:
             F.lit(c).alias("column"), F.count(col(c)).alias("count"),
             F.lit(None).cast("long").alias("unique"), F.lit(None).cast("string").alias("top"),
             F.lit(None).cast("long").alias("freq"), F.avg(col(c)).alias("mean"),
-            F.stddev_samp(col(c)).alias("std"), F.min(col(c)).cast("double").alias("min"),
+            
+            (F.lit(None).cast("double") if c in times else F.stddev_samp(col(c))).alias("std"), F.min(col(c)).cast("double").alias("min"),
             *[F.lit(q).cast("double").alias(n) for q, n in zip(quartiles[c], ("q25", "q50", "q75"))],
             F.max(col(c)).cast("double").alias("max")) for c in numbers])
         parts.append(df.agg(rows.alias("rows")).select(F.inline("rows")))
@@ -77,6 +85,10 @@ def describe_table(df: DataFrame) -> DataFrame:
             "column", "count", "unique", F.col("best.value").alias("top"),
             (-F.col("best.n")).alias("freq"),
             *[empty.alias(n) for n in ("mean", "std", "min", "q25", "q50", "q75", "max")]))
+    if not parts:
+        kinds = dict.fromkeys(("mean", "std", "min", "q25", "q50", "q75", "max"), "double")
+        kinds = {"column": "string", "count": "long", "unique": "long", "top": "string", "freq": "long"} | kinds
+        return df.sparkSession.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in kinds.items()))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -91,16 +103,26 @@ def id_column(df: DataFrame) -> str | None:
 
 
 def distinct_users(df: DataFrame, key: str | None = None, approximate: bool = False) -> DataFrame:
-    """Number of distinct ids."""
-    c = col(key or id_column(df))
+    """Number of distinct ids; null if the table has no id column."""
+    key = key or id_column(df)
+    if key is None:
+        return df.agg(F.max(F.lit(None).cast("long")).alias("users"))
+    c = col(key)
     return df.agg((F.approx_count_distinct(c) if approximate else F.count_distinct(c)).alias("users"))
 
 
 def avg_days_per_user(df: DataFrame, key: str | None = None, time: str | None = None) -> DataFrame:
-    """Mean over users of their distinct calendar days; rows without a time are ignored."""
+    """Mean over users of their distinct calendar days; rows without a (readable) time are ignored.
+
+    Null if the table has no id or no time column.
+    """
     key = key or id_column(df)
     time = time or first_column(df, "date", "time", "day")
-    days = (df.select(col(key).alias("key"), F.to_date(col(time)).alias("day"))
+    if key is None or time is None:
+        return df.agg(F.max(F.lit(None).cast("double")).alias("avg_days"))
+    is_text = isinstance(df.schema[time].dataType, T.StringType)
+    day = F.to_date(parsed(col(time), EXPORT_FORMATS) if is_text else col(time))
+    days = (df.select(col(key).alias("key"), day.alias("day"))
             .dropna().distinct())
     return (days.groupBy("key").agg(F.count("*").alias("days"))
             .agg(F.avg("days").alias("avg_days")))

@@ -3,7 +3,9 @@ import datetime as dt
 import numpy as np
 import pytest
 
-from daybeat.operators import cluster, forecast
+from pyspark.errors import PySparkException
+
+from daybeat.operators import clean, cluster, forecast, profile
 from daybeat.sources import tables as io
 
 
@@ -17,11 +19,80 @@ def test_names_bind_first_file_and_skip_unreadable(spark, tmp_path):
     io.write_csv(spark.createDataFrame([(1, "4/1/2016 1:00:00 AM", 5)], "Id long, ActivityHour string, StepTotal long"),
                  f"{tmp_path}/hourlySteps_a.csv")
     io.write_csv(spark.range(3), f"{tmp_path}/hourlySteps_b.csv")
-    paths = [f"{tmp_path}/hourlySteps_a.csv", f"{tmp_path}/hourlySteps_b.csv", f"{tmp_path}/minuteSleep.csv"]
-    bound = io.load_roles(spark, paths)
+    paths = [f"{tmp_path}/hourlySteps_a.csv", f"{tmp_path}/hourlySteps_b.csv", f"{tmp_path}/minuteSleep.txt"]
+    with pytest.warns(UserWarning, match="minuteSleep.txt"):
+        bound = io.load_roles(spark, paths)
     assert list(bound) == ["hourly_steps"] and bound["hourly_steps"].count() == 1
 
 
+def test_missing_paths_are_errors(spark, tmp_path):
+    with pytest.raises(PySparkException):
+        io.load_roles(spark, [f"{tmp_path}/minuteSleep.csv"])
+
+
+def csv(folder, name, text):
+    path = folder / name
+    path.write_text(text)
+    return str(path)
+
+
+def test_missing_words_and_nan_are_null(spark, tmp_path):
+    path = csv(tmp_path, "hourlySteps.csv", "Id,ActivityHour,StepTotal\n1,4/1/2016 1:00:00 AM,NA\n1,4/1/2016 2:00:00 AM,5\n"
+               "2,null,NaN\n2,4/1/2016 3:00:00 AM,N/A\n")
+    steps = io.load_roles(spark, [path])["hourly_steps"]
+    assert dict(steps.dtypes) == {"Id": "bigint", "ActivityHour": "string", "StepTotal": "double"}
+    assert sorted(steps.collect(), key=str) == sorted([(1, "4/1/2016 1:00:00 AM", None), (1, "4/1/2016 2:00:00 AM", 5.0),
+                                                       (2, None, None), (2, "4/1/2016 3:00:00 AM", None)], key=str)
+    spark.createDataFrame([(float("nan"), "NA")], "v double, t string").write.parquet(f"{tmp_path}/n.parquet")
+    assert io.read_table(spark, f"{tmp_path}/n.parquet").first() == (None, "NA")
+
+
+def test_columns_without_a_known_type_get_the_narrowest(spark, tmp_path):
+    path = csv(tmp_path, "t.csv", "a,b,c,d,e,f,g\n1,1.5,true,2024-01-02,2024-01-02 03:04:05,x,\nNA,2,False,None,,7,NA\n")
+    df = io.read_table(spark, path)
+    assert [t for _, t in df.dtypes] == ["bigint", "double", "boolean", "date", "timestamp_ntz", "string", "string"]
+    assert df.filter("a is null").first()[1:] == (2.0, False, None, None, "7", None)
+
+
+def test_binding_by_columns_reads_headers_alone(spark, tmp_path, monkeypatch):
+    paths = [csv(tmp_path, "one.csv", "Id,Time,Value\n1,4/1/2016 1:00:00 AM,70\n"), csv(tmp_path, "two.csv", "x,y\n1,2\n")]
+    monkeypatch.setattr(io, "_narrowest", lambda *a: pytest.fail("inference pass"))
+    bound = io.load_roles(spark, paths, by="columns")
+    assert list(bound) == ["heartrate"] and bound["heartrate"].first() == (1, "4/1/2016 1:00:00 AM", 70.0)
+
+
+@pytest.mark.parametrize("text, want", [
+    ("25/12/2023 10:30:00", "2023-12-25 10:30:00"), ("25.12.2023", "2023-12-25 00:00:00"), ("25/12/23", "2023-12-25 00:00:00"),
+    ("3-4-2023 7:05", "2023-04-03 07:05:00"), ("2023-12-25", "2023-12-25 00:00:00"), ("soon", None), (None, None)])
+def test_day_first_forms(spark, text, want):
+    df = clean.normalise_utc(spark.createDataFrame([(text,)], "Date string"))
+    assert df.selectExpr("date_format(Date, 'yyyy-MM-dd HH:mm:ss')").first()[0] == want
+
+
+@pytest.mark.parametrize("text, want", [
+    ("4/12/2016 13:05", "2016-04-12 13:05:00"), ("4/12/2016 1:05:09 PM", "2016-04-12 13:05:09"),
+    ("4/12/2016 1:05 PM", "2016-04-12 13:05:00"), ("4/12/16", "2016-04-12 00:00:00"), ("13/13/2016", None)])
+def test_month_first_forms(spark, text, want):
+    df = clean.parse_timestamps(spark.createDataFrame([(text,)], "t string"), ["t"])
+    assert df.selectExpr("date_format(t, 'yyyy-MM-dd HH:mm:ss')").first()[0] == want
+
+
+def test_profiles_of_raw_tables(spark):
+    raw = spark.createDataFrame([(1, "4/12/2016"), (1, "4/13/2016"), (1, "4/13/2016"), (2, "bad"), (2, "4/12/2016")],
+                                "Id long, ActivityDate string")
+    assert profile.avg_days_per_user(raw).first()[0] == 1.5
+    assert profile.distinct_users(raw.drop("Id")).first()[0] is None
+    assert profile.avg_days_per_user(raw.drop("Id")).first()[0] is None
+    day = dt.datetime(2024, 1, 1)
+    mixed = spark.createDataFrame([(day, True), (day + dt.timedelta(days=2), True), (None, False)], "t timestamp_ntz, b boolean")
+    rows = {r.column: r for r in profile.describe_table(mixed).collect()}
+    seconds = day.replace(tzinfo=dt.timezone.utc).timestamp()
+    assert (rows["t"]["count"], rows["t"]["min"], rows["t"].q50, rows["t"]["max"]) == (
+        2, seconds, seconds + 86400, seconds + 2 * 86400)
+    assert (rows["b"]["count"], rows["b"].unique, rows["b"].top, rows["b"].freq) == (3, 2, "True", 2)
+    assert profile.describe_table(spark.createDataFrame([([1],)], "a array<int>")).count() == 0
+
+
 def test_known_schema_follows_the_header(spark, tmp_path):
     path = f"{tmp_path}/heartrate.csv"
     io.write_csv(spark.createDataFrame([(71.0, 9, "4/1/2016 1:00:00 AM")], "Value double, Id long, Time string"), path)
