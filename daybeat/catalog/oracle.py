@@ -556,13 +556,18 @@ def _record_rows(v: str, t: str) -> str:
 
 
 oracle("anomaly_records", _record_rows("TotalSleepMinutes", "d_sleep"), "TotalSleepMinutes Expected Deviation", "Date", digits=2)
-oracle("records_top25", f"""SELECT Date, {half_even('AvgHR', 1)} AS "AvgHR", {half_even('"Expected"', 1)} AS "Expected",
-  {half_even('"Deviation"', 1)} AS "Deviation", "Reason"[1:12] AS "Reason", more_records FROM (
-  SELECT *, greatest(count(*) OVER () - 3, 0) AS more_records FROM ({_record_rows('AvgHR', 'd_hr')})) ORDER BY Date LIMIT 3""",
-       "AvgHR Expected Deviation", "Date", digits=1)
+def _top_records(n: int, width: int) -> str:
+    return f"""SELECT Date, {half_even('AvgHR', 1)} AS "AvgHR", {half_even('"Expected"', 1)} AS "Expected",
+  {half_even('"Deviation"', 1)} AS "Deviation", "Reason"[1:{width}] AS "Reason", more_records FROM (
+  SELECT *, greatest(count(*) OVER () - {n}, 0) AS more_records FROM ({_record_rows('AvgHR', 'd_hr')})) ORDER BY Date LIMIT {n}"""
+
+
+oracle("records_top25", _top_records(3, 12), "AvgHR Expected Deviation", "Date", digits=1)
+oracle("records_top25_defaults", _top_records(25, 55), "AvgHR Expected Deviation", "Date", digits=1)
 _export = "SELECT signal, Date, " + ", ".join(f"{half_even(c, 2)} AS {c}" for c in ("value", "expected", "residual")) \
     + ", reason FROM flagged"
 oracle("anomaly_export", _export, "value expected residual", "Date", digits=2)
+oracle("export_from_files", _export, "value expected residual", "Date", digits=2)
 oracle("write_csv", _export, "value expected residual", "Date", digits=2)
 _profile = ["TotalSteps", "Calories", "VeryActiveMinutes", "SedentaryMinutes", "TotalSleepMinutes"]
 oracle("user_activity_profile", "SELECT right(CAST(Id AS VARCHAR), 6) AS Id, " + ", ".join(

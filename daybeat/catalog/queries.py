@@ -724,6 +724,28 @@ def _(spark, sf):
     return report.records_top25(detect.detect_hr(_master(spark, sf), *HR), "AvgHR", 3, 12)
 
 
+@query("records_top25_defaults", 1)
+def _(spark, sf):
+    return report.records_top25(detect.detect_hr(_master(spark, sf), *HR), "AvgHR")
+
+
+@query("export_from_files", 2)
+def _(spark, sf):
+    """Exports with NA for missing cells, bound by name, parsed, joined, searched and exported."""
+    folder, paths = shared_folder(spark), []
+    for role, df in _daily_roles(spark, sf).items():
+        time = io.TIMESTAMP_COLUMNS[role]
+        pattern = "M/d/yyyy" if role == "daily_activity" else given.EXPORT_TIME
+        paths.append(f"{folder}/{EXPORT_NAMES[role]}")
+        (df.withColumn(time, F.date_format(time, pattern)).write.option("header", True)
+         .option("nullValue", "NA").csv(paths[-1]))
+    tables = {role: clean.parse_timestamps(df, [io.TIMESTAMP_COLUMNS[role]])
+              for role, df in io.load_roles(spark, paths).items()}
+    master = keep(pipelines.master_daily(tables))
+    return report.anomaly_export(report.Anomalies(
+        detect.detect_hr(master, *HR), detect.detect_steps(master, *STEPS), detect.detect_sleep(master, *SLEEP)))
+
+
 @query("anomaly_export", 2)
 def _(spark, sf):
     return report.anomaly_export(_narrow(spark, sf))
