@@ -39,9 +39,12 @@ def resample_minute_filled(df: DataFrame, key: str | None = "Id", time: str = "T
     has = col("__v").isNotNull()
     point = F.struct(col("__s").alias("s"), col("__v").alias("v"))
     # per day and user, then across days of a user: the next value and the ends of the series
+    known_at = F.when(has, col("__s"))
     days = means.groupBy(*[col(k) for k in keys], "__day").agg(
-        F.min(F.when(has, point)).alias("__head"),
+        F.min(known_at).alias("__hs"), F.min_by("__v", known_at).alias("__hv"),
         F.min("__s").alias("__first"), F.max("__s").alias("__last"))
+    head = F.when(col("__hs").isNotNull(), F.struct(col("__hs").alias("s"), col("__hv").alias("v")))
+    days = days.withColumn("__head", head)
     per_key = Window.partitionBy(*[col(k) for k in keys])
     later = per_key.orderBy(col("__day").desc()).rowsBetween(Window.unboundedPreceding, -1)
     ends = days.select(
@@ -117,7 +120,12 @@ def daily_sleep_count(df: DataFrame, key: str = "Id") -> DataFrame:
 
 def dominant_sleep_stage(df: DataFrame, key: str = "Id") -> DataFrame:
     """Per user and day: most frequent stage, the smallest one on a tie."""
-    return _by_day(df, "date", key).agg(F.mode("value", True).alias("DominantSleepStage"))
+    keys = [col(key)] if key in df.columns else []
+    usable = df.dropna(subset=[c for c in (key, "date") if c in df.columns])
+    counted = (usable.groupBy(*keys, as_date(col("date")).alias("Date"), col("value").alias("__stage"))
+               .agg(F.count("*").alias("__n")))
+    best = F.max(F.when(col("__stage").isNotNull(), F.struct("__n", (-col("__stage")).alias("__minus"))))
+    return counted.groupBy(*keys, "Date").agg((-best["__minus"]).alias("DominantSleepStage"))
 
 
 def elapsed_series(df: DataFrame, key: str = "Id", time: str = "Time",
