@@ -315,8 +315,9 @@ oracle("master_daily", """SELECT md.*, COALESCE(DominantSleepStage, 0) AS Domina
        _moving + " " + " ".join(_hr_cols) + " TotalSleepMinutes", "Date")
 PARTS["steps_daily"] = "SELECT ActivityDate AS Date, avg(TotalSteps) AS TotalSteps FROM da WHERE TotalSteps IS NOT NULL GROUP BY 1"
 oracle("daily_cross_user_mean", "SELECT Date AS ActivityDate, TotalSteps FROM steps_daily", "TotalSteps", "ActivityDate")
-oracle("daily_hr_two_step_mean", """SELECT Date, avg(v) AS Value FROM (SELECT Id, CAST(Time AS DATE) AS Date, avg(Value) AS v
-  FROM hr_dense GROUP BY 1, 2) GROUP BY 1""", "Value", "Date")
+PARTS["hr_two_step"] = """SELECT Date, avg(v) AS Value FROM (SELECT Id, CAST(Time AS DATE) AS Date, avg(Value) AS v
+  FROM hr_dense GROUP BY 1, 2) GROUP BY 1"""
+oracle("daily_hr_two_step_mean", "SELECT * FROM hr_two_step", "Value", "Date")
 PARTS["hr_pooled"] = "SELECT CAST(Time AS DATE) AS ds, avg(HeartRate) AS y FROM hm GROUP BY 1"
 oracle("daily_hr_pooled_mean", "SELECT * FROM hr_pooled", "y", "ds")
 
@@ -351,7 +352,8 @@ oracle("minmax_scale", "SELECT id, " + ", ".join(
 oracle("forecast_input", """SELECT Id AS series, ActivityDate AS ds, TotalSteps AS y FROM da WHERE TotalSteps IS NOT NULL
   AND Id IN (SELECT Id FROM da WHERE TotalSteps IS NOT NULL GROUP BY 1 HAVING count(*) >= 10)""", "y", "ds")
 PARTS["history"] = """SELECT 'steps' AS series, Date AS ds, TotalSteps AS y FROM steps_daily
-  UNION ALL SELECT 'heart rate', ds, y FROM hr_pooled"""
+  UNION ALL SELECT 'heart rate', Date, Value FROM hr_two_step
+  UNION ALL SELECT 'sleep', Date, avg(TotalSleepMinutes) FROM md GROUP BY 2"""
 PARTS["numbered"] = """SELECT *, datediff('day', min(ds) OVER (PARTITION BY series), ds)::DOUBLE AS t FROM history"""
 PARTS["lines"] = """SELECT series, min(ds) AS first_ds, max(ds) AS last_ds, regr_slope(y, t) AS slope,
   regr_intercept(y, t) AS icept FROM numbered GROUP BY 1"""

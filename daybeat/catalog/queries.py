@@ -452,9 +452,11 @@ def _(spark, sf):
 
 def _history(spark, sf) -> DataFrame:
     steps = series.daily_cross_user_mean(_daily(spark, sf), "TotalSteps", "ActivityDate")
-    hr = series.daily_hr_pooled_mean(_minutes(spark, sf))
+    hr = series.daily_hr_two_step_mean(series.resample_minute_filled(_hr(spark, sf)))
+    sleep = series.daily_cross_user_mean(_master(spark, sf), "TotalSleepMinutes")
     long = (forecast.series_of(steps, "ActivityDate", "TotalSteps", "steps")
-            .unionByName(forecast.series_of(hr, "ds", "y", "heart rate")))
+            .unionByName(forecast.series_of(hr, "Date", "Value", "heart rate"))
+            .unionByName(forecast.series_of(sleep, "Date", "TotalSleepMinutes", "sleep")))
     return keep(forecast.forecast_input(long, "ds", "y"))
 
 
