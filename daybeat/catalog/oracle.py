@@ -338,7 +338,7 @@ def _features(source: str, value: str) -> str:
 PARTS["feats"] = _features("hm", "HeartRate")
 _feature_numbers = " ".join(f"value__{f}" for f in FEATURES if f != "length")
 oracle("ts_features", "SELECT * FROM feats", _feature_numbers, digits=3)
-oracle("ts_features_filled", _features("hr_dense", "Value"), _feature_numbers, digits=2)
+oracle("ts_features_filled", _features("hr_dense", "Value"), _feature_numbers, digits=6)
 oracle("drop_empty_features", "SELECT * FROM feats", _feature_numbers, digits=3)
 oracle("impute_features", """SELECT id, value__median, CASE id % 5 WHEN 0 THEN hi WHEN 1 THEN lo WHEN 2 THEN mid
   ELSE value__maximum END AS value__maximum FROM feats, (SELECT max(value__maximum) AS hi, min(value__maximum) AS lo,

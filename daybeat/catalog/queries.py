@@ -421,10 +421,9 @@ def _(spark, sf):
     return _ts_features(spark, sf)
 
 
-@query("ts_features_filled", 2)
+@query("ts_features_filled", 6)
 def _(spark, sf):
-    filled = series.resample_minute_filled(_hr(spark, sf))
-    return features.ts_features(filled.select(col("Id").alias("id"), col("Value").alias("value")))
+    return features.ts_features_of_segments(series.minute_segments(_hr(spark, sf)).withColumnRenamed("Id", "id"))
 
 
 @query("drop_empty_features", 3)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import col, half_even, numeric_columns
 from ..functions.quantiles import exact_quantiles, group_brackets, quantiles_in_brackets
@@ -42,9 +42,89 @@ def ts_features(series: DataFrame, key: str = "id", value: str = "value") -> Dat
     medians = quantiles_in_brackets(rows, stats, [key], {"median": v}, 0.5).withColumnRenamed(
         "median", name + "median")
     return stats.join(medians, key).select(
-        col(key), *[col(name + f) for f in (
-            "sum_values", "median", "mean", "length", "standard_deviation", "variance",
-            "root_mean_square", "maximum", "absolute_maximum", "minimum")])
+        col(key), *[col(name + f) for f in FEATURES])
+
+
+FEATURES = ("sum_values", "median", "mean", "length", "standard_deviation", "variance", "root_mean_square",
+            "maximum", "absolute_maximum", "minimum")
+# Buckets of one pass over the range that holds a median, and passes.
+BUCKETS, PASSES = 64, 2
+
+
+def ts_features_of_segments(segments: DataFrame, key: str = "id", value: str = "value") -> DataFrame:
+    """``ts_features`` of the minutes that straight runs stand for, without writing them out.
+
+    ``segments`` has (key, v, step, last): values ``v + k * step`` for ``k = 0 .. last``. Sums, squares and
+    extremes of a run are closed forms, and so is the number of its minutes below a bound, which is what
+    finding a median takes; only the minutes next to it are looked at one by one.
+    """
+    n = (col("last") + 1).cast("double")
+    v, step, end = col("v"), col("step"), col("v") + col("step") * col("last")
+    runs = keep(segments.filter(col(key).isNotNull() & (col("last") >= 0)).select(
+        col(key).alias("key"), "v", "step", (col("last") + 1).cast("long").alias("n"), F.least(v, end).alias("least"),
+        F.greatest(v, end).alias("most"), (n * v + step * n * (n - 1) / 2).alias("total"),
+        (n * v * v + v * step * n * (n - 1) + step * step * (n - 1) * n * (2 * n - 1) / 6).alias("squares")))
+    sums = keep(runs.groupBy("key").agg(
+        F.sum("total").alias("total"), F.sum("squares").alias("squares"), F.sum("n").alias("n"),
+        F.min("least").alias("least"), F.max("most").alias("most")))
+    mean, square = col("total") / col("n"), col("squares") / col("n")
+    variance = F.greatest(square - mean * mean, F.lit(0.0))
+    shown = {"sum_values": col("total"), "median": col("median"), "mean": mean, "length": col("n"),
+             "standard_deviation": F.sqrt(variance), "variance": variance, "root_mean_square": F.sqrt(square),
+             "maximum": col("most"), "absolute_maximum": F.greatest(F.abs("most"), F.abs("least")), "minimum": col("least")}
+    return sums.join(_medians_of_runs(runs, sums), "key").select(
+        col("key").alias(key), *[shown[f].alias(f"{value}__{f}") for f in FEATURES])
+
+
+def _below(x: Column) -> Column:
+    """Minutes of a run below ``x``: the first ones of a rising run, the last ones of a falling one."""
+    n, place = col("n"), F.try_divide(x - col("v"), col("step"))
+    rising = F.greatest(F.lit(0), F.least(n, F.ceil(place)))
+    falling = n - F.greatest(F.lit(0), F.least(n, F.floor(place) + 1))
+    return (F.when(col("step") > 0, rising).when(col("step") < 0, falling)
+            .otherwise(F.when(col("v") < x, n).otherwise(F.lit(0)))).cast("long")
+
+
+def _medians_of_runs(runs: DataFrame, sums: DataFrame) -> DataFrame:
+    """(key, median): the range of the two middle ranks is counted down, then its minutes are ordered."""
+    middle = col("n") - 1
+    ranges = sums.select("key", col("least").alias("lo"), (col("most") + F.abs("most") * 1e-9 + 1e-9).alias("hi"),
+                         F.lit(0).cast("long").alias("under"), F.floor(middle / 2).alias("low_rank"),
+                         F.ceil(middle / 2).alias("high_rank"))
+    width = (col("hi") - col("lo")) / BUCKETS
+
+    def edge(j: Column) -> Column:
+        return F.when(j == BUCKETS, col("hi")).otherwise(col("lo") + j * width)
+
+    def place(x: Column, off: int) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(BUCKETS - 1), F.floor((x - col("lo")) / width) + off)).cast("int")
+
+    for _ in range(PASSES):
+        ranges = keep(ranges)
+        # One bucket more on either side: rounding must not lose an edge.
+        inside = runs.join(ranges, "key").withColumn("j", F.explode(F.sequence(place(col("least"), -1), place(col("most"), 1))))
+        counts = (inside.select("key", "j", (_below(edge(col("j") + 1)) - _below(edge(col("j")))).alias("c"))
+                  .filter("c > 0").groupBy("key", "j").agg(F.sum("c").alias("c")))
+        so_far = F.sum("c").over(Window.partitionBy("key").orderBy("j"))
+        counted = counts.join(ranges, "key").withColumn("upto", col("under") + so_far)
+        first, second = (F.min(F.when(col("upto") > col(r), col("j"))) for r in ("low_rank", "high_rank"))
+        before = F.max(F.when(col("upto") <= col("low_rank"), col("upto")))
+        names = ("lo", "hi", "under", "low_rank", "high_rank")
+        found = counted.groupBy("key", *names).agg(first.alias("j1"), second.alias("j2"), before.alias("before"))
+        ranges = found.select("key", edge(col("j1")).alias("lo"), edge(col("j2") + 1).alias("hi"),
+                              F.coalesce("before", "under").alias("under"), "low_rank", "high_rank")
+    ranges = keep(ranges)
+    joined = runs.join(ranges, "key").withColumn("a", _below(col("lo"))).withColumn("b", _below(col("hi"))).filter("b > a")
+    rising = F.sequence(col("a"), col("b") - 1)
+    falling = F.sequence(col("n") - col("b"), col("n") - col("a") - 1)
+    ks = F.when(col("step") > 0, rising).when(col("step") < 0, falling).otherwise(F.array(F.lit(0).cast("long")))
+    weight = F.when(col("step") == 0, col("b") - col("a")).otherwise(F.lit(1))
+    values = (joined.select("key", "v", "step", weight.alias("w"), F.explode(ks).alias("k"))
+              .groupBy("key", (col("v") + col("step") * col("k")).alias("value")).agg(F.sum("w").alias("w")))
+    upto = F.sum("w").over(Window.partitionBy("key").orderBy("value"))
+    ordered = values.join(ranges, "key").withColumn("upto", col("under") + upto)
+    low, high = (F.min(F.when(col("upto") > col(r), col("value"))) for r in ("low_rank", "high_rank"))
+    return ordered.groupBy("key").agg(((low + high) / 2).alias("median"))
 
 
 def drop_empty_features(df: DataFrame) -> DataFrame:

@@ -22,13 +22,13 @@ def resample_minute(df: DataFrame, key: str | None = "Id", time: str = "Time",
             .agg(F.avg(col(value)).alias(name)))
 
 
-def resample_minute_filled(df: DataFrame, key: str | None = "Id", time: str = "Time",
-                           value: str = "Value") -> DataFrame:
-    """Mean per user and minute for every minute from the first to the last row of a user.
+def minute_segments(df: DataFrame, key: str | None = "Id", time: str = "Time",
+                    value: str = "Value") -> DataFrame:
+    """The filled minutes of a user as straight runs, one row for each observed minute.
 
-    Gaps are interpolated; minutes after the last value repeat it, minutes before the first
-    value stay null. Each observed minute knows its successor and expands into the minutes
-    up to it, so the dense grid is produced by a narrow step and never joined or sorted.
+    (key, s, v, step, before, last): the minute at second ``s`` has value ``v``, minute ``k`` after it
+    ``v + k * step`` up to ``k = last``. ``before`` is 0, or minus the minutes of the user that lie before
+    the first value. Each observed minute finds its successor in its day, or in a later one.
     """
     keys = [key] if key else []
     seconds = F.unix_timestamp(_minute(col(time)).cast("timestamp"))
@@ -62,12 +62,24 @@ def resample_minute_filled(df: DataFrame, key: str | None = "Id", time: str = "T
     minutes_after = F.coalesce(F.floor((col("__next")["s"] - col("__s")) / _MINUTE) - 1,
                                F.floor((col("__end") - col("__s")) / _MINUTE))
     gap = (col("__next")["s"] - col("__s")) / _MINUTE
-    rise = F.coalesce(F.try_divide((col("__next")["v"] - col("__v")) * col("__k"), gap), F.lit(0.0))
-    return (known.withColumn("__k", F.explode(F.sequence(minutes_before, minutes_after)))
+    step = F.coalesce(F.try_divide(col("__next")["v"] - col("__v"), gap), F.lit(0.0))
+    return known.select(*[col(k) for k in keys], col("__s").alias("s"), col("__v").alias("v"), step.alias("step"),
+                        minutes_before.cast("long").alias("before"), minutes_after.cast("long").alias("last"))
+
+
+def resample_minute_filled(df: DataFrame, key: str | None = "Id", time: str = "Time",
+                           value: str = "Value") -> DataFrame:
+    """Mean per user and minute for every minute from the first to the last row of a user.
+
+    Gaps are interpolated; minutes after the last value repeat it, minutes before the first
+    value stay null. Each observed minute expands into the minutes up to its successor, so the
+    dense grid is produced by a narrow step and never joined or sorted.
+    """
+    keys = [key] if key else []
+    return (minute_segments(df, key, time, value).withColumn("__k", F.explode(F.sequence("before", "last")))
             .select(*[col(k) for k in keys],
-                    F.timestamp_seconds(col("__s") + col("__k") * _MINUTE)
-                    .cast("timestamp_ntz").alias(time),
-                    F.when(col("__k") >= 0, col("__v") + rise).alias(value)))
+                    F.timestamp_seconds(col("s") + col("__k") * _MINUTE).cast("timestamp_ntz").alias(time),
+                    F.when(col("__k") >= 0, col("v") + col("step") * col("__k")).alias(value)))
 
 
 def daily_hr_stats(minutes: DataFrame, key: str = "Id", time: str = "Time",
