@@ -397,7 +397,7 @@ def _(spark, sf):
 
 @query("daily_hr_two_step_mean")
 def _(spark, sf):
-    return series.daily_hr_two_step_mean(series.resample_minute_filled(_hr(spark, sf)))
+    return series.daily_hr_two_step_mean_of_segments(series.minute_segments(_hr(spark, sf)))
 
 
 @query("daily_hr_pooled_mean")
@@ -451,7 +451,7 @@ def _(spark, sf):
 
 def _history(spark, sf) -> DataFrame:
     steps = series.daily_cross_user_mean(_daily(spark, sf), "TotalSteps", "ActivityDate")
-    hr = series.daily_hr_two_step_mean(series.resample_minute_filled(_hr(spark, sf)))
+    hr = series.daily_hr_two_step_mean_of_segments(series.minute_segments(_hr(spark, sf)))
     sleep = series.daily_cross_user_mean(_master(spark, sf), "TotalSleepMinutes")
     long = (forecast.series_of(steps, "ActivityDate", "TotalSteps", "steps")
             .unionByName(forecast.series_of(hr, "Date", "Value", "heart rate"))

@@ -172,6 +172,20 @@ def daily_hr_two_step_mean(filled: DataFrame, key: str = "Id", time: str = "Time
     return per_user.groupBy("Date").agg(F.avg(col(value)).alias(value))
 
 
+def daily_hr_two_step_mean_of_segments(segments: DataFrame, key: str = "Id", value: str = "Value") -> DataFrame:
+    """``daily_hr_two_step_mean`` of the minutes that straight runs stand for: runs are cut at midnight."""
+    day = 86_400
+    days = F.sequence(F.floor((col("s") + col("before") * _MINUTE) / day), F.floor((col("s") + col("last") * _MINUTE) / day))
+    a = F.greatest(F.lit(0), F.ceil((col("__d") * day - col("s")) / _MINUTE))
+    b = F.least(col("last"), F.floor((col("__d") * day + day - 1 - col("s")) / _MINUTE))
+    n = F.greatest(col("__b") - col("__a") + 1, F.lit(0))
+    total = F.when(n > 0, n * col("v") + col("step") * (col("__a") + col("__b")) * n / 2)
+    per_user = (segments.withColumn("__d", F.explode(days)).withColumn("__a", a).withColumn("__b", b)
+                .groupBy(col(key), "__d").agg(F.try_divide(F.sum(total), F.sum(n)).alias(value)))
+    date = F.date_add(F.lit("1970-01-01").cast("date"), col("__d").cast("int"))
+    return per_user.groupBy(date.alias("Date")).agg(F.avg(col(value)).alias(value))
+
+
 def daily_hr_pooled_mean(minutes: DataFrame, time: str = "Time",
                          value: str = "HeartRate") -> DataFrame:
     """Mean per day over the minutes of all users together."""

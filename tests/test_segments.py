@@ -33,6 +33,15 @@ def test_features_equal_those_of_the_minutes(spark, monkeypatch, buckets, passes
         np.testing.assert_allclose(list(got[user]), list(r), rtol=1e-9, atol=1e-6)
 
 
+def test_daily_means_equal_those_of_the_minutes(spark):
+    df = readings(spark)
+    want = {r.Date: r.Value for r in series.daily_hr_two_step_mean(series.resample_minute_filled(df)).collect()}
+    got = {r.Date: r.Value for r in series.daily_hr_two_step_mean_of_segments(series.minute_segments(df)).collect()}
+    assert set(got) == set(want) and len(got) > 15
+    for day in want:
+        assert got[day] == pytest.approx(want[day], rel=1e-12)
+
+
 def test_no_rows(spark):
     runs = series.minute_segments(readings(spark).limit(0)).withColumnRenamed("Id", "id")
     assert features.ts_features_of_segments(runs).count() == 0
