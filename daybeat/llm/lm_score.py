@@ -29,7 +29,9 @@ BACKOFF = 0.4
 UNSEEN = 0.5
 HOT_SHARE = 1000
 # Words of one partition of the hashes.
-PARTITION_WORDS = 2_500_000
+PARTITION_WORDS = 2_000_000
+# Bytes of text whose n-grams a task holds at once.
+_TEXT_BYTES = 3 << 20
 _BITS = np.uint64((1 << 48) - 1)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)       # fixed value: golden ratio
 
@@ -160,10 +162,10 @@ def _joined(rows: list[dict]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     parts, base = [], 0
     for row in rows:
         own = _arrays(row)
-        own["place"] = own["place"].astype(np.int64) + base
+        own["place"] = own["place"].astype(np.int32) + np.int32(base)
         base += len(own["texts"])
         parts.append(own)
-    joined = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+    joined = {k: np.concatenate([p.pop(k) for p in parts]) for k in list(parts[0])}
     return joined, joined.pop("texts").astype(np.int64)
 
 
@@ -177,26 +179,35 @@ def scored_pairs(bucket: int, rows: list[dict], buckets: int, hot: np.ndarray, h
     """First join: sums of the bigrams that other texts have, questions for the words of the others."""
     pairs, texts = _joined(rows)
     order = np.lexsort((pairs["second"], pairs["first"]))
-    p = {k: pairs[k][order] for k in ("first", "second", "place", "n", "own_first", "own_second")}
+    p = {k: pairs.pop(k)[order] for k in list(pairs)}
+    del order
     spread = lambda x, starts: np.repeat(np.add.reduceat(x, starts), np.diff(np.append(starts, len(x))))
-    both = spread(p["n"], _runs(p["first"], p["second"])) - p["n"]
+    both = (spread(p["n"], _runs(p["first"], p["second"])) - p["n"]).astype(np.int32)
     by_text = np.lexsort((p["place"], p["first"]))
-    own = np.empty(len(by_text), np.int64)
+    own = np.empty(len(by_text), np.int32)
     own[by_text] = spread(p["n"][by_text], _runs(p["first"][by_text], p["place"][by_text]))
-    context = spread(p["n"], _runs(p["first"])) - own
+    del by_text
+    context = (spread(p["n"].astype(np.int64), _runs(p["first"])) - own)
+    del own
     if len(hot):
         at = np.minimum(np.searchsorted(hot, p["first"]), len(hot) - 1)
         context = np.where(hot[at] == p["first"], hot_counts[at] - p["own_first"], context)
-    seen = both > 0
-    value = np.where(seen, np.log(np.maximum(both, 1)) - np.log(np.maximum(context, 1)), 0.0) * p["n"]
-    out = [_summed(bucket, p["place"][seen], value[seen], np.zeros(seen.sum()), texts)]
-    asked = {k: v[~seen] for k, v in p.items()}
-    target = bucket_of(asked["second"], buckets)
-    order = np.lexsort((asked["second"], target))
-    for at in np.split(order, _runs(target[order])[1:]) if len(order) else []:
-        here, back = np.unique(asked["place"][at], return_inverse=True)
-        out.append(_row(QUESTIONS, target[at[0]], **_halves("second", asked["second"][at]), place=back, texts=texts[here],
-                        n=asked["n"][at], own_second=asked["own_second"][at], value=np.full(len(at), np.log(BACKOFF))))
+        del at
+    seen = np.flatnonzero(both > 0)
+    value = (np.log(both[seen]) - np.log(np.maximum(context[seen], 1))) * p["n"][seen]
+    out = [_summed(bucket, p["place"][seen], value, np.zeros(len(seen)), texts)]
+    del value, context, seen, p["first"]
+    asked = np.flatnonzero(both <= 0)
+    del both
+    target = bucket_of(p["second"][asked], buckets).astype(np.int32)
+    order = np.lexsort((p["second"][asked], target))
+    asked, target = asked[order], target[order]
+    del order
+    for at in np.split(asked, _runs(target)[1:]) if len(asked) else []:
+        here, back = np.unique(p["place"][at], return_inverse=True)
+        out.append(_row(QUESTIONS, bucket_of(p["second"][at[:1]], buckets)[0], **_halves("second", p["second"][at]), place=back,
+                        texts=texts[here], n=p["n"][at], own_second=p["own_second"][at],
+                        value=np.full(len(at), np.log(BACKOFF))))
     return out
 
 
@@ -221,7 +232,7 @@ def _join(rows: DataFrame, make) -> DataFrame:
 
 def _word_batches(batches, text: str):
     for batch in batches:
-        for part in pieces(batch, text):
+        for part in pieces(batch, text, _TEXT_BYTES):
             at = part.schema.get_field_index(text)
             yield part, [hashes(raw) for raw in part.column(at).cast(pa.binary()).to_pylist()]
 
