@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 # One output batch holds about this many bytes of text, whatever the number of rows.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def find_package(spark: SparkSession) -> SparkSession:
@@ -22,13 +22,13 @@ def find_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about BATCH_BYTES of text each, one row at least."""
+def pieces(batch: pa.RecordBatch, text: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of text each, one row at least."""
     column = batch.column(batch.schema.get_field_index(text))
     start = size = 0
     for i, value in enumerate(column):
         size += len(value.as_buffer()) if value.is_valid else 0
-        if size >= BATCH_BYTES:
+        if size >= most:
             yield batch.slice(start, i + 1 - start)
             start, size = i + 1, 0
     if start < batch.num_rows:
