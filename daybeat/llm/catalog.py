@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (byte_bpe, html_text, lm_score, minhash, mixing, passages, quality_model, quality_rules,
+from . import (byte_bpe, html_text, language_id, lm_score, minhash, mixing, passages, quality_model, quality_rules,
                url_filters, vector_links)
 from ..session import configure
 from .arrow import find_package
@@ -94,3 +94,9 @@ def _lm_score(spark, sf):
 def _quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return quality_rules.apply_cascade(docs).drop("text", "rejected_by")
+
+
+@query("op13_language_id")
+def _language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
