@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (byte_bpe, html_text, language_id, lm_score, minhash, mixing, passages, quality_model, quality_rules,
-               url_filters, vector_links)
+               token_alignment, url_filters, vector_links)
 from ..session import configure
 from .arrow import find_package
 from .oracle import ORACLES
@@ -18,8 +18,9 @@ __all__ = ["ORACLES", "QUERIES", "VOCABULARY"]
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# A file of the installed tokenizer package, which every worker has.
+# Files of the installed tokenizer package, which every worker has.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -100,3 +101,12 @@ def _quality_rules(spark, sf):
 def _language_id(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query("op11_token_alignment")
+def _token_alignment(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    aligned = token_alignment.align(docs, VOCABULARY, PIECES)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    counted = aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "links")
+    return token_alignment.weigh(counted)
