@@ -12,10 +12,8 @@ first parted there, and each different part is cut and aligned once per worker.
 from __future__ import annotations
 
 import functools
-from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, chain, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,67 +23,69 @@ from ..session import keep, one_row
 from .arrow import add_columns
 from .byte_bpe import _tokenizer, cuts, token_bytes
 
-REMEMBERED_BYTES = 160 << 20    # memory of a worker for known parts, roughly; bounds memory, never results
+REMEMBERED_BYTES = 128 << 20    # memory of a worker for known parts, roughly; bounds memory, never results
 LONGEST = 64                    # longer parts are not remembered
+TOGETHER, AT_ONCE = 256, 8192   # parts given to the tokenizers as one text, and parts aligned at once
 HOT_PAIRS = 1 << 16             # at most so many id pairs can each hold this part of all pairs of documents
 _SPACE = "▁"
 
-Leaf = tuple[int, int, int, int]
+class Part(NamedTuple):
+    """Tokens, groups and links of one part of a text; ``pairs`` are the 64-bit keys of the linked ids."""
+    n_a: int
+    n_b: int
+    n_groups: int
+    form: str
+    pairs: bytes
 
 
-def _shared(ends_a: list[int], first_a: int, last_a: int, ends_b: list[int], first_b: int,
-            last_b: int) -> tuple[int, int] | None:
-    """The tokens up to a shared cut inside an interval, the nearest to the middle of its A tokens."""
-    middle = (first_a + last_a) // 2
-    for step in range(max(middle - first_a, last_a - 1 - middle) + 1):
-        for at in (middle - step, middle + step) if step else (middle,):
-            if first_a <= at < last_a:
-                there = bisect_left(ends_b, ends_a[at], first_b, last_b)
-                if there < last_b and ends_b[there] == ends_a[at]:
-                    return at + 1, there + 1
-    return None
+def _cuts_near_middle(ends_a: np.ndarray, ends_b: np.ndarray, intervals: np.ndarray) -> np.ndarray:
+    """For each interval the A token that ends at a shared cut inside it, nearest to its middle, or -1.
 
-
-def leaves(ends_a: list[int], ends_b: list[int]) -> Iterator[Leaf]:
-    """First and after-last tokens of A and B of every group, in order.
-
-    The ends rise, and the last ones are equal. No tokens: no groups.
+    Ever more A ends on both sides of the middle are looked up among the ends of B by bisection.
     """
-    todo = [(0, len(ends_a), 0, len(ends_b))] if ends_a else []
-    while todo:
-        a, after_a, b, after_b = part = todo.pop()
-        cut = _shared(ends_a, a, after_a - 1, ends_b, b, after_b - 1) if after_a - a > 1 < after_b - b else None
-        if cut is None:
-            yield part
-        else:
-            todo += (cut[0], after_a, cut[1], after_b), (a, cut[0], b, cut[1])
-
-
-def overlaps(ends_a: list[int], ends_b: list[int], group: Leaf) -> Iterator[tuple[int, int]]:
-    """Tokens of A and B in a group whose bytes overlap."""
-    a, after_a, b, after_b = group
-    while a < after_a and b < after_b:
-        yield a, b
-        if ends_a[a] < ends_b[b]:
-            a += 1
-        else:
-            b += 1
-
-
-def pair_key(a: int, b: int) -> int:
-    return a << 32 | b
-
-
-class _Part:
-    """Tokens, groups and links of one part of a text."""
-    __slots__ = ("n_a", "n_b", "n_groups", "form", "pairs")
-
-    def __init__(self, ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int]):
-        found = list(leaves(ends_a, ends_b))
-        self.n_a, self.n_b, self.n_groups = len(ids_a), len(ids_b), len(found)
-        self.form = ";".join([",".join(map(str, ids_a[a:c])) + "|" + ",".join(map(str, ids_b[b:d]))
-                              for a, c, b, d in found])
-        self.pairs = tuple([pair_key(ids_a[a], ids_b[b]) for g in found for a, b in overlaps(ends_a, ends_b, g)])
+    first, last = intervals[0], intervals[1] - 1         # the last token ends at the interval's own end
+    middle, found = (first + last) // 2, np.full(len(first), -1)
+    open_, far, width = np.arange(len(first)), 0, 1
+    while len(open_):
+        steps = np.arange(far, far + width)
+        at = np.stack([middle[open_, None] - steps, middle[open_, None] + 1 + steps], axis=2).reshape(len(open_), -1)
+        inside = (at >= first[open_, None]) & (at < last[open_, None])
+        ends = ends_a[np.where(inside, at, 0)]
+        hit = inside & (ends_b[np.searchsorted(ends_b, ends)] == ends)
+        some = hit.any(axis=1)
+        found[open_[some]] = at[some, hit[some].argmax(axis=1)]
+        far += width
+        more = (middle - far >= first) | (middle + 1 + far < last)
+        open_, width = open_[~some & more[open_]], min(2 * width, 1 << 14)
+    return found
+
+
+def leaves(ends_a: np.ndarray, ends_b: np.ndarray, after_a: np.ndarray, after_b: np.ndarray) -> np.ndarray:
+    """First and after-last token of A and of B of every group, one column each, in order.
+
+    The ends rise; ``after_a`` and ``after_b`` count the tokens up to known shared cuts, the last
+    of them the end. All intervals of one depth are parted together.
+    """
+    todo = np.stack([np.concatenate([[0], after_a[:-1]]), after_a, np.concatenate([[0], after_b[:-1]]), after_b])
+    done = []
+    while todo.shape[1]:
+        # One token on a side leaves no place for a cut.
+        open_ = (todo[1] - todo[0] > 1) & (todo[3] - todo[2] > 1)
+        done.append(todo[:, ~open_])
+        todo = todo[:, open_]
+        at = _cuts_near_middle(ends_a, ends_b, todo)
+        done.append(todo[:, at < 0])
+        todo, at = todo[:, at >= 0], at[at >= 0]
+        there = np.searchsorted(ends_b, ends_a[at])
+        todo = np.concatenate([[todo[0], at + 1, todo[2], there + 1], [at + 1, todo[1], there + 1, todo[3]]], axis=1)
+    found = np.concatenate(done, axis=1)
+    return found[:, np.argsort(found[0], kind="stable")]
+
+
+def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of A and of B that share bytes: one pair for every stretch between neighbouring ends."""
+    ends = np.union1d(ends_a, ends_b)
+    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
 class _Aligner:
@@ -96,39 +96,80 @@ class _Aligner:
         texts = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(t[3:5], 16)]) if self.b.is_byte(k) else t.replace(_SPACE, " ").encode()
                         for k, t in enumerate(texts)]
+        self.sizes_a, self.sizes_b = (np.array([len(t) for t in own], np.int64) for own in (self.bytes_a, self.bytes_b))
         # A piece that goes on after a space would join two parts.
         self.apart = not any(_SPACE in t.lstrip(_SPACE) for t in texts)
-        self.known: dict[str, _Part | None] = {}
+        self.known: dict[str, Part | None] = {}
         self.size = 0
 
-    def learn(self, texts: list[str]) -> dict[str, _Part | None]:
-        """Alignment of each text; None where the bytes of A or B are not those of the text."""
-        out = {}
-        found_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for text, found, ids_b in zip(texts, found_a, self.b.encode(texts, num_threads=1)):
-            own_a, own_b = [self.bytes_a[k] for k in found.ids], [self.bytes_b[k] for k in ids_b]
-            whole = (" " + text).encode()
-            out[text] = (_Part(found.ids, ids_b, list(accumulate(map(len, own_a))), list(accumulate(map(len, own_b))))
-                         if b"".join(own_a) == whole == b"".join(own_b) else None)
+    def learn(self, parts: list[str]) -> dict[str, Part | None]:
+        """Alignment of each part; None where the bytes of A or B are not those of the part.
+
+        Parts without white space at their ends are put together again for the tokenizers, some at a
+        time: known shared cuts stand between them.
+        """
+        joint = [p for p in parts if not (p[0].isspace() or p[-1].isspace())] if self.apart else []
+        alone = set(parts).difference(joint)
+        groups = [[p] for p in alone] + [joint[k:k + TOGETHER] for k in range(0, len(joint), TOGETHER)]
+        out: dict[str, Part | None] = {}
+        failed = self._learn(groups, out)
+        for p in self._learn([[p] for g in failed if len(g) > 1 for p in g], out) + [g for g in failed if len(g) == 1]:
+            out[p[0]] = None
         return out
 
-    def texts(self, values: list[bytes | None]) -> Iterator[list[_Part]]:
+    def _learn(self, groups: list[list[str]], out: dict[str, Part | None]) -> list[list[str]]:
+        """Puts the parts of all groups into ``out``, but for groups that do not come back byte for byte."""
+        texts, failed, tokens_a, tokens_b, kept = [" ".join(g) for g in groups], [], [], [], []
+        found_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        for group, text, found, ids_b in zip(groups, texts, found_a, self.b.encode(texts, num_threads=1)):
+            ids_a, whole = found.ids, (" " + text).encode()
+            if (b"".join(map(self.bytes_a.__getitem__, ids_a)) == whole
+                    == b"".join(map(self.bytes_b.__getitem__, ids_b))):
+                tokens_a += ids_a
+                tokens_b += ids_b
+                kept += group
+            else:
+                failed.append(group)
+        if kept:
+            self._align(kept, tokens_a, tokens_b, out)
+        return failed
+
+    def _align(self, parts: list[str], tokens_a: list[int], tokens_b: list[int], out: dict[str, Part | None]) -> None:
+        ids_a, ids_b = np.array(tokens_a, np.int64), np.array(tokens_b, np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
+        borders = np.cumsum([len(p.encode()) + 1 for p in parts])
+        after_a, after_b = np.searchsorted(ends_a, borders) + 1, np.searchsorted(ends_b, borders) + 1
+        groups = leaves(ends_a, ends_b, after_a, after_b)
+        link_a, link_b = overlaps(ends_a, ends_b)
+        pairs = (ids_a[link_a] << 32 | ids_b[link_b]).tobytes()
+        texts_a, texts_b = list(map(str, tokens_a)), list(map(str, tokens_b))
+        forms = [f"{texts_a[a]}|{texts_b[b]}" if c - a == 1 == d - b else
+                 ",".join(texts_a[a:c]) + "|" + ",".join(texts_b[b:d]) for a, c, b, d in groups.T.tolist()]
+        # Groups and links up to the end of each part.
+        after_groups = np.searchsorted(groups[1], after_a) + 1
+        after_links = np.searchsorted(link_a, after_a)
+        a = b = g = x = 0
+        for part, to_a, to_b, to_g, to_x in zip(parts, after_a.tolist(), after_b.tolist(), after_groups.tolist(),
+                                                after_links.tolist()):
+            out[part] = Part(to_a - a, to_b - b, to_g - g, ";".join(forms[g:to_g]), pairs[8 * x:8 * to_x])
+            a, b, g, x = to_a, to_b, to_g, to_x
+
+    def texts(self, values: list[bytes | None]) -> Iterator[list[Part]]:
         """The parts of every text; none for a text that is null, empty or not given back whole."""
-        split = [((v or b"").decode(), v) for v in values]
-        split = [(cuts(t) if self.apart else [t]) if t else [] for t, _ in split]
+        split = [(v or b"").decode() for v in values]
+        split = [(cuts(t) if self.apart else [t]) if t else [] for t in split]
         if self.size > REMEMBERED_BYTES:
             self.known, self.size = {}, 0
-        new = list({p for own in split for p in own if p not in self.known})
-        passing = {}
-        for start in range(0, len(new), 4096):
-            for text, part in self.learn(new[start:start + 4096]).items():
+        new, known, passing = list({p for own in split for p in own if p not in self.known}), self.known, {}
+        for start in range(0, len(new), AT_ONCE):
+            for text, part in self.learn(new[start:start + AT_ONCE]).items():
                 if len(text) <= LONGEST:
-                    self.known[text] = part
-                    self.size += 400 + 16 * len(text)
+                    known[text] = part
+                    self.size += 480
                 else:
                     passing[text] = part
         for own in split:
-            parts = [self.known[p] if p in self.known else passing[p] for p in own]
+            parts = [known[p] if p in known else passing[p] for p in own]
             yield [] if None in parts else parts
 
 
@@ -137,13 +178,11 @@ def _aligner(vocabulary: str, pieces: str) -> _Aligner:
     return _Aligner(vocabulary, pieces)
 
 
-def _links(parts: list[_Part]) -> tuple[np.ndarray, np.ndarray]:
+def _links(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
     """Different id pairs of a text, and how often each is linked."""
-    times = Counter(parts)
-    keys = np.fromiter(chain.from_iterable(p.pairs for p in times), np.int64)
-    each = np.fromiter(chain.from_iterable(repeat(n, len(p.pairs)) for p, n in times.items()), np.int64, len(keys))
-    pairs, at = np.unique(keys, return_inverse=True)
-    return pairs, np.bincount(at, each, len(pairs)).astype(np.int64)
+    keys = np.sort(np.frombuffer(b"".join([p.pairs for p in parts]), np.int64))
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.diff(np.concatenate([starts, [len(keys)]]))
 
 
 def _list_of(sizes: list[int], values: pa.Array) -> pa.Array:

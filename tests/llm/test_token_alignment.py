@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -71,24 +72,28 @@ def plain(texts):
              groups) for n_a, n_b, n_groups, links, groups in rows]
 
 
+def leaves(a, b):
+    a, b = np.array(a), np.array(b)
+    return A.leaves(a, b, np.array([len(a)]), np.array([len(b)])).T.tolist()
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_leaves_are_the_intervals_between_shared_ends(seed):
     rng, end = random.Random(seed), 400
     a, b = (sorted({*rng.sample(range(1, end), rng.randrange(0, 300)), end}) for _ in range(2))
-    found, both = list(A.leaves(a, b)), sorted(set(a) & set(b))
+    found, both = leaves(a, b), sorted(set(a) & set(b))
     assert [(a[g[1] - 1], b[g[3] - 1]) for g in found] == [(e, e) for e in both]
     assert [g[0] for g in found] == [0, *(g[1] for g in found[:-1])] and [g[2] for g in found] == [0, *(g[3] for g in found[:-1])]
-    links = {x for g in found for x in A.overlaps(a, b, g)}
-    starts = {id(x): [0, *x[:-1]] for x in (a, b)}
-    assert links == {(i, j) for i in range(len(a)) for j in range(len(b))
-                     if starts[id(a)][i] < b[j] and starts[id(b)][j] < a[i]}
+    starts_a, starts_b = [0, *a[:-1]], [0, *b[:-1]]
+    assert set(zip(*map(np.ndarray.tolist, A.overlaps(np.array(a), np.array(b))))) == {
+        (i, j) for i in range(len(a)) for j in range(len(b)) if starts_a[i] < b[j] and starts_b[j] < a[i]}
 
 
-def test_long_parts_without_cuts_take_linear_time():
-    a, b = list(range(1, 200_001, 2)) + [200_002], list(range(2, 200_003, 2))
-    assert list(A.leaves(a, b)) == [(0, len(a), 0, len(b))]
-    assert len(list(A.leaves(a, a))) == len(a)
-    assert list(A.leaves([], [])) == []
+def test_long_stretches_without_cuts():
+    a, b = list(range(1, 2_000_001, 2)) + [2_000_002], list(range(2, 2_000_003, 2))
+    assert leaves(a, b) == [[0, len(a), 0, len(b)]]
+    assert len(leaves(a, a)) == len(a)
+    assert len(leaves([*a, *range(a[-1] + 1, a[-1] + 500)], [*b, *range(a[-1] + 1, a[-1] + 500)])) == 500
 
 
 def check(found, texts):
