@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (byte_bpe, html_text, language_id, lm_score, minhash, mixing, passages, quality_model, quality_rules,
-               token_alignment, url_filters, vector_links)
+from . import (byte_bpe, conversation_repair, html_text, language_id, lm_score, minhash, mixing, passages,
+               quality_model, quality_rules, token_alignment, url_filters, vector_links)
 from ..session import configure
 from .arrow import find_package
 from .oracle import ORACLES
@@ -97,12 +97,6 @@ def _quality_rules(spark, sf):
     return quality_rules.apply_cascade(docs).drop("text", "rejected_by")
 
 
-@query("op13_language_id")
-def _language_id(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
-
-
 @query("op11_token_alignment")
 def _token_alignment(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -110,3 +104,14 @@ def _token_alignment(spark, sf):
     digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
     counted = aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "links")
     return token_alignment.weigh(counted)
+
+
+@query("op12_conversation_repair")
+def _conversation_repair(spark, sf):
+    return conversation_repair.repair(table(spark, sf, "conversations"))
+
+
+@query("op13_language_id")
+def _language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")

@@ -120,3 +120,78 @@ k AS (SELECT row_id, count(*) AS n_links FROM pairs GROUP BY row_id)
 SELECT t.id AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, t.id = component_id AS kept
 FROM t LEFT JOIN k USING (row_id) JOIN c USING (id)
 """
+
+# What may be done with a row: (class of its initial, state before, letter, state behind, cost); states 0 to
+# 3 are the start, after system, after user, after assistant. Rows put in: (state before, behind, letters, lines).
+_KEPT = [("s", 0, 1), ("u", 0, 2), ("u", 1, 2), ("u", 3, 2), ("a", 2, 3)]
+_REROLED = [("u", 0, 2), ("u", 1, 2), ("u", 3, 2), ("a", 2, 3)]
+_EDITS = ", ".join(
+    [f"('{c}', {a}, 'K', {b}, 0)" for c, a, b in _KEPT]
+    + [f"('{c}', {a}, 'R', {b}, 1)" for to, a, b in _REROLED for c in "sua-" if c != to])
+_INSERTS = """(0, 2, 'I', 'user:' || chr(10)), (1, 2, 'I', 'user:' || chr(10)), (2, 3, 'I', 'assistant:' || chr(10)),
+  (3, 2, 'I', 'user:' || chr(10)), (0, 3, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+  (1, 3, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))"""
+# CRC-32 of a text of ASCII characters, bit by bit; the number is the fixed value of that sum.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+  lambda sum, byte: list_reduce([xor(sum, byte), 1, 1, 1, 1, 1, 1, 1, 1],
+    lambda v, one: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+
+ORACLES["op12_conversation_repair"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+d AS (SELECT *, {_CRC} % 20 AS kind FROM t),
+e AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM d WHERE kind <> 0),
+o AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos FROM e),
+f AS (
+  SELECT *, NOT regexp_matches(text, '{WORD}') AS blank,
+    row_number() OVER (PARTITION BY c, role, text ORDER BY pos) > 1 AS again,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS cut,
+    role[1] AS initial, lag(role[1]) OVER (PARTITION BY c ORDER BY pos) AS earlier FROM o),
+g AS (
+  SELECT *, again AND NOT blank AS duplicate, cut AND NOT blank AND NOT again AS truncated,
+    CASE WHEN initial IN ('s', 'u', 'a') THEN initial ELSE '-' END AS class FROM f),
+n AS (
+  SELECT c, any_value(conv_id) AS conv_id, count(*) AS size,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY c),
+edits(class, state, letter, there, price) AS (VALUES {_EDITS}),
+inserts(state, there, letters, lines) AS (VALUES {_INSERTS}),
+best AS (
+  SELECT c, size + 1 AS pos, ends.* FROM n, (VALUES
+    (0, {{'cost': 0, 'audit': '', 'lines': ''}}), (3, {{'cost': 0, 'audit': '', 'lines': ''}}),
+    (2, {{'cost': 5, 'audit': 'I', 'lines': 'assistant:' || chr(10)}}),
+    (1, {{'cost': 10, 'audit': 'II', 'lines': 'user:' || chr(10) || 'assistant:' || chr(10)}})) AS ends(state, s)
+  UNION ALL
+  SELECT c, pos, state, min(s) AS s FROM (
+    WITH one AS (
+      SELECT c, pos, state, min(s) AS s FROM (
+        SELECT g.c, g.pos, b.state,
+          {{'cost': 2 + b.s.cost, 'audit': 'D' || b.s.audit, 'lines': b.s.lines}} AS s
+        FROM best b JOIN g ON g.c = b.c AND g.pos = b.pos - 1
+        UNION ALL
+        SELECT g.c, g.pos, x.state, {{'cost': x.price + CASE WHEN g.truncated THEN 5 ELSE 0 END + b.s.cost,
+          'audit': x.letter || b.s.audit, 'lines': CASE WHEN x.letter = 'K' THEN g.role WHEN x.there = 2 THEN 'user'
+            ELSE 'assistant' END || ':' || g.text || chr(10) || b.s.lines}} AS s
+        FROM best b JOIN g ON g.c = b.c AND g.pos = b.pos - 1 JOIN edits x ON x.class = g.class AND x.there = b.state
+        WHERE NOT g.blank AND NOT g.duplicate) GROUP BY ALL)
+    SELECT * FROM one
+    UNION ALL
+    SELECT c, pos, i.state, {{'cost': 5 * length(letters) + s.cost, 'audit': letters || s.audit,
+      'lines': i.lines || s.lines}} AS s
+    FROM one JOIN inserts i ON i.there = one.state) GROUP BY ALL),
+r AS (SELECT c, s FROM best WHERE pos = 1 AND state = 0)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(s.cost, 0)::BIGINT AS cost, coalesce(s.audit, '') AS audit,
+  sha256(coalesce(left(s.lines, length(s.lines) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS every
+LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM every.conv_id LEFT JOIN r USING (c)
+"""
