@@ -84,7 +84,8 @@ def leaves(ends_a: np.ndarray, ends_b: np.ndarray, after_a: np.ndarray, after_b:
 
 def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of A and of B that share bytes: one pair for every stretch between neighbouring ends."""
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")      # two rising runs
+    ends = ends[np.concatenate([ends[1:] != ends[:-1], [True]])]
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
@@ -96,14 +97,15 @@ class _Aligner:
         texts = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(t[3:5], 16)]) if self.b.is_byte(k) else t.replace(_SPACE, " ").encode()
                         for k, t in enumerate(texts)]
+        self.names_a, self.names_b = (list(map(str, range(len(own)))) for own in (self.bytes_a, self.bytes_b))
         self.sizes_a, self.sizes_b = (np.array([len(t) for t in own], np.int64) for own in (self.bytes_a, self.bytes_b))
         # A piece that goes on after a space would join two parts.
         self.apart = not any(_SPACE in t.lstrip(_SPACE) for t in texts)
         self.known: dict[str, Part | None] = {}
         self.size = 0
 
-    def learn(self, parts: list[str]) -> dict[str, Part | None]:
-        """Alignment of each part; None where the bytes of A or B are not those of the part.
+    def learn(self, parts: list[str], out: dict[str, Part | None]) -> None:
+        """Puts the alignment of each part into ``out``; None where A or B do not give the part's bytes back.
 
         Parts without white space at their ends are put together again for the tokenizers, some at a
         time: known shared cuts stand between them.
@@ -111,11 +113,9 @@ class _Aligner:
         joint = [p for p in parts if not (p[0].isspace() or p[-1].isspace())] if self.apart else []
         alone = set(parts).difference(joint)
         groups = [[p] for p in alone] + [joint[k:k + TOGETHER] for k in range(0, len(joint), TOGETHER)]
-        out: dict[str, Part | None] = {}
         failed = self._learn(groups, out)
         for p in self._learn([[p] for g in failed if len(g) > 1 for p in g], out) + [g for g in failed if len(g) == 1]:
             out[p[0]] = None
-        return out
 
     def _learn(self, groups: list[list[str]], out: dict[str, Part | None]) -> list[list[str]]:
         """Puts the parts of all groups into ``out``, but for groups that do not come back byte for byte."""
@@ -142,7 +142,7 @@ class _Aligner:
         groups = leaves(ends_a, ends_b, after_a, after_b)
         link_a, link_b = overlaps(ends_a, ends_b)
         pairs = (ids_a[link_a] << 32 | ids_b[link_b]).tobytes()
-        texts_a, texts_b = list(map(str, tokens_a)), list(map(str, tokens_b))
+        texts_a, texts_b = [self.names_a[k] for k in tokens_a], [self.names_b[k] for k in tokens_b]
         forms = [f"{texts_a[a]}|{texts_b[b]}" if c - a == 1 == d - b else
                  ",".join(texts_a[a:c]) + "|" + ",".join(texts_b[b:d]) for a, c, b, d in groups.T.tolist()]
         # Groups and links up to the end of each part.
@@ -160,14 +160,14 @@ class _Aligner:
         split = [(cuts(t) if self.apart else [t]) if t else [] for t in split]
         if self.size > REMEMBERED_BYTES:
             self.known, self.size = {}, 0
-        new, known, passing = list({p for own in split for p in own if p not in self.known}), self.known, {}
+        known, passing = self.known, {}
+        new = list({p for own in split for p in own if p not in known})
         for start in range(0, len(new), AT_ONCE):
-            for text, part in self.learn(new[start:start + AT_ONCE]).items():
-                if len(text) <= LONGEST:
-                    known[text] = part
-                    self.size += 480
-                else:
-                    passing[text] = part
+            some = new[start:start + AT_ONCE]
+            short = [p for p in some if len(p) <= LONGEST]
+            self.learn(short, known)
+            self.learn([p for p in some if len(p) > LONGEST], passing)
+            self.size += 480 * len(short)
         for own in split:
             parts = [known[p] if p in known else passing[p] for p in own]
             yield [] if None in parts else parts
