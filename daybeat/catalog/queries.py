@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import col, fixed
-from ..functions.ordered import record_block, time_block
+from ..functions.ordered import time_block
 from ..operators import (clean, cluster, detect, features, forecast, impute, outliers, profile,
                          report, series)
 from ..operators.dbscan import dbscan
@@ -229,7 +229,7 @@ def _(spark, sf):
 @query("normalise_dates")
 def _(spark, sf):
     single = _single(spark, sf)
-    return clean.normalise_dates(single, ["Record"], chunk=record_block("Record")).select("Record", "Date")
+    return clean.normalise_dates(single, ["Record"]).select("Record", "Date")
 
 
 @query("interpolate_by_key")
@@ -241,7 +241,7 @@ def _(spark, sf):
 @query("interpolate_all")
 def _(spark, sf):
     single = _single(spark, sf).select("Record", "Active_Minutes")
-    return impute.interpolate_all(single, ["Record"], ["Active_Minutes"], record_block("Record"))
+    return impute.interpolate_all(single, ["Record"], ["Active_Minutes"])
 
 
 @query("fill_median")

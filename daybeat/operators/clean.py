@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import col, text_columns
-from ..functions.ordered import carry_forward
+from ..functions.ordered import RANGES, carry_forward
 
 # The text formats of the tracker exports.
 EXPORT_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy", "M/d/yyyy h:mm a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yy")
@@ -60,7 +60,7 @@ def parse_dates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def normalise_dates(df: DataFrame, order: Sequence[str], cols: Sequence[str] | None = None,
-                    chunk: Column | None = None) -> DataFrame:
+                    chunk: Column | str = RANGES) -> DataFrame:
     """Day-first text to dates; gaps take the last valid date in row order."""
     cols = list(cols if cols is not None else date_like_columns(df))
     return carry_forward(parse_dates(df, cols), cols, order, chunk=chunk)

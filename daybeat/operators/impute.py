@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col
-from ..functions.ordered import interpolate
+from ..functions.ordered import RANGES, interpolate
 from ..functions.quantiles import exact_quantiles, quantile_by_group
-from ..session import one_row
+from ..session import discard, keep, one_row
 
 
 def interpolate_by_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
@@ -19,21 +19,23 @@ def interpolate_by_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequ
 
 
 def interpolate_all(df: DataFrame, order: Sequence[str], cols: Sequence[str],
-                    chunk: Column) -> DataFrame:
-    """The same over the whole table; ``chunk`` keeps the work spread over tasks."""
+                    chunk: Column | str = RANGES) -> DataFrame:
+    """The same over the whole table, cut into even ranges of its order unless ``chunk`` says otherwise."""
     return interpolate(df, cols, order, (), chunk)
 
 
 def fill_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Remaining nulls become the column median; a column without values stays null.
 
-    Reads ``df`` once for the null counts and again only if a column still has gaps.
+    The columns are written once, so that null counts and quantile passes do not compute ``df`` again.
     """
     if not cols:
         return df
-    row = one_row(df.agg(*[F.count_if(col(c).isNull()) for c in cols]))
+    values = keep(df.select(*[col(c) for c in cols]))
+    row = one_row(values.agg(*[F.count_if(col(c).isNull()) for c in cols]))
     gaps = [c for c, n in zip(cols, row) if n]
-    medians = {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in gaps}).items()}
+    medians = {c: q[0] for c, q in exact_quantiles(values, {c: [0.5] for c in gaps}).items()}
+    discard(values)
     return df.withColumns({
         c: F.coalesce(col(c).cast("double"), F.lit(medians.get(c)).cast("double")) for c in cols})
 

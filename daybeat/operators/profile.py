@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.columns import col, first_column, numeric_columns, text_columns
 from ..functions.ordered import previous_value
 from ..functions.quantiles import exact_quantiles
-from ..session import one_row
+from ..session import keep, one_row
 from .clean import EXPORT_FORMATS, parsed
 
 # Names of id columns and texts of the cleaning report.
@@ -63,16 +63,16 @@ def describe_table(df: DataFrame) -> DataFrame:
     numbers, texts = numeric_columns(df), text_columns(df)
     parts = []
     if numbers:
-        quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in numbers})
+        values = keep(df.select(*[col(c) for c in numbers]))        # passed over several times
+        quartiles = exact_quantiles(values, {c: [0.25, 0.5, 0.75] for c in numbers})
         rows = F.array(*[F.struct(
             F.lit(c).alias("column"), F.count(col(c)).alias("count"),
             F.lit(None).cast("long").alias("unique"), F.lit(None).cast("string").alias("top"),
             F.lit(None).cast("long").alias("freq"), F.avg(col(c)).alias("mean"),
-            
             (F.lit(None).cast("double") if c in times else F.stddev_samp(col(c))).alias("std"), F.min(col(c)).cast("double").alias("min"),
             *[F.lit(q).cast("double").alias(n) for q, n in zip(quartiles[c], ("q25", "q50", "q75"))],
             F.max(col(c)).cast("double").alias("max")) for c in numbers])
-        parts.append(df.agg(rows.alias("rows")).select(F.inline("rows")))
+        parts.append(values.agg(rows.alias("rows")).select(F.inline("rows")))
     if texts:
         per_value = (df.unpivot([], [col(c) for c in texts], "column", "value")
                      .groupBy("column", "value").agg(F.count("*").alias("n")))
@@ -142,8 +142,9 @@ def frequency_check(df: DataFrame, key: str, time: str, chunk: Column | None = N
     def micros(c: Column) -> Column:
         return F.unix_micros(c.cast("timestamp"))
 
-    gaps = lagged.select(((micros(col(time)) - micros(F.col("__before"))) / F.lit(3.6e9))
-                         .alias("gap")).dropna()
+    # Written once: the quantile takes several passes.
+    gaps = keep(lagged.select(((micros(col(time)) - micros(F.col("__before"))) / F.lit(3.6e9))
+                              .alias("gap")).dropna())
     median = exact_quantiles(gaps, {"gap": [0.5]})["gap"][0]
     return gaps.agg(F.lit(median).cast("double").alias("median_gap_hours"),
                     (F.avg((F.col("gap") == 1.0).cast("double")) * 100).alias("one_hour_pct"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_date, col, half_even, numeric_columns, text_columns
-from ..functions.ordered import fill, record_block, time_block
+from ..functions.ordered import RANGES, fill, time_block
 from ..operators import clean, impute, series
 from ..operators.dbscan import dbscan
 from ..operators.features import standard_scale, user_features_fixed
@@ -48,14 +48,13 @@ def clean_file(df: DataFrame, role: str, key: str = "Id") -> DataFrame:
     return clean.fill_unknown(out, [c for c in out.columns if c not in texts])
 
 
-def preprocess_single(df: DataFrame, order: Sequence[str], chunk: Column | None = None,
+def preprocess_single(df: DataFrame, order: Sequence[str], chunk: Column | str = RANGES,
                       dates: bool = True, numbers: bool = True,
                       categories: bool = True) -> DataFrame:
     """Single-file cleaner with three switches, over the whole table in row order.
 
-    ``chunk`` defaults to blocks of the first order column, a unique whole number.
+    ``chunk`` defaults to even ranges of the order.
     """
-    chunk = record_block(order[0]) if chunk is None else chunk
     filled_dates, filled_numbers = [], []
     if dates:
         filled_dates = clean.date_like_columns(df)
@@ -69,7 +68,7 @@ def preprocess_single(df: DataFrame, order: Sequence[str], chunk: Column | None
 
 
 def preprocess_keyed(df: DataFrame, order: Sequence[str], key: str = "User_ID",
-                     chunk: Column | None = None) -> tuple[DataFrame, list[str]]:
+                     chunk: Column | str = RANGES) -> tuple[DataFrame, list[str]]:
     """Single-file cleaner per user with its log: UTC dates, numbers per user, workout names."""
     logs = []
     if "Date" in df.columns:
@@ -77,7 +76,6 @@ def preprocess_keyed(df: DataFrame, order: Sequence[str], key: str = "User_ID",
         logs.append("Date: day-first text to UTC instants")
     numeric = numeric_columns(df, (key, *order))
     if key in df.columns:
-        chunk = record_block(order[0]) if chunk is None else chunk
         gaps = _with_gaps(df, numeric)
         df = impute.interpolate_by_key(_as_double(df, numeric), key, order, gaps, chunk)
         logs.append(f"{', '.join(gaps) or 'no column'}: gaps filled per {key}")

@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from daybeat.functions.ordered import (carry_forward, interpolate, previous_value, record_block,
+from daybeat.functions import ordered
+from daybeat.functions.ordered import (RANGES, carry_forward, in_ranges, interpolate, previous_value, record_block,
                                        row_positions, time_block)
 
 
@@ -72,3 +73,50 @@ def test_row_positions_over_chunks(spark):
     df = spark.range(100).withColumn("id", F.col("id") * 37)
     got = row_positions(df, ["id"], chunk=record_block("id", 500)).orderBy("id").toPandas()
     assert got["__pos"].tolist() == list(range(1, 101))
+
+
+@pytest.mark.parametrize("scan", [256, 2])
+@pytest.mark.parametrize("keys", [(), ("Id",)])
+def test_ranges_in_several_levels_match_pandas(spark, monkeypatch, scan, keys):
+    """Sixteen ranges in blocks of two make four levels of summaries."""
+    monkeypatch.setattr(ordered, "SCAN", scan)
+    pdf = series_frame(7, rows=90)
+    pdf["row"] = [int(1.03 ** (k % 450)) * 1000 + k for k in range(len(pdf))]      # crowded, then sparse
+    pdf = pdf.sort_values("row", ignore_index=True)
+    pdf.loc[3:80, "v"] = None
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = as_spark(spark, pdf)
+        got = interpolate(df, ["v"], ["row"], keys, RANGES).orderBy("row").toPandas()
+        carried = carry_forward(df, ["v"], ["row"], keys, RANGES).orderBy("row").toPandas()
+        numbered = row_positions(df, ["row"], keys, RANGES).orderBy("row").toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    by = pdf.groupby("Id")["v"] if keys else None
+    want = by.transform(lambda x: x.interpolate().ffill().bfill()) if keys else pdf["v"].interpolate().ffill().bfill()
+    pd.testing.assert_series_equal(got["v"], want, check_names=False)
+    pd.testing.assert_series_equal(carried["v"], by.ffill() if keys else pdf["v"].ffill(), check_names=False)
+    place = pdf.groupby("Id").cumcount() + 1 if keys else pd.Series(range(1, len(pdf) + 1))
+    assert numbered["__pos"].tolist() == place.tolist()
+
+
+def test_ranges_are_even_whatever_the_numbers(spark):
+    """Dense and sparse record numbers in one table; values far apart do not make small chunks."""
+    rows = [(k,) for k in range(4000)] + [(10 ** 6 + 10 ** 5 * k,) for k in range(4000)]
+    sizes = [r["count"] for r in in_ranges(spark.createDataFrame(rows, "row long").repartition(5), ["row"])
+             .groupBy("__chunk").count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) < 2.5 * 8000 / len(sizes)
+
+
+def test_no_window_spans_the_table(spark):
+    df = spark.range(100).select(F.col("id").alias("row"), F.lit(1.0).alias("v"))
+    plan = interpolate(df, ["v"], ["row"], (), RANGES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and all("[__" in line for line in plan.splitlines() if line.strip().startswith("+- Window"))
+
+
+def test_rows_without_a_chunk_come_first_and_are_filled(spark):
+    df = spark.createDataFrame([(None, 1, 3.0), (None, 2, None), (5, 3, None), (9, 4, 1.0)], "at int, row int, v double")
+    got = {r.row: r.v for r in interpolate(df, ["v"], ["row"], (), F.col("at")).collect()}
+    assert got == {1: 3.0, 2: pytest.approx(7 / 3), 3: pytest.approx(5 / 3), 4: 1.0}
