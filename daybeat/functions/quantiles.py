@@ -5,8 +5,10 @@ all columns and ranks in one pass, and the bucket that the rank falls into is th
 merge on the map side, and a pass gives the driver a fixed number of rows whatever the size of the
 table. It ends when a bucket holds one value, or few enough rows to look at them.
 
-Groups are first narrowed with the mergeable ``percentile_approx`` sketch to a bracket that surely
-holds the wanted rank; only the values inside the bracket are collected.
+Groups are counted down in the same way, all of them in one pass, from a first guess: a bracket that the
+mergeable ``percentile_approx`` sketch gives. The guess is never trusted. Values below and above the
+bracket are counted too, and where the rank lies outside, the descent goes on there. A group is settled
+once the counts prove its values; only the others are passed over again, and no values are collected.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..session import keep, one_row
 from .columns import col
@@ -23,10 +26,8 @@ from .columns import col
 BUCKETS = 2_048
 # Rows of a bucket that one row of a result may list.
 FEW_ROWS = 2_048
-SKETCH_ACCURACY = 10_000
-SMALL_GROUP = 1_000
-FINEST_ACCURACY = 1_000_000
-VALUES_IN_ONE_GROUP = 1_000_000
+SKETCH_ACCURACY = 1_000     # of the first guess for a group; it decides how many passes follow, nothing else
+GROUP_BUCKETS = 256
 _LARGEST = 1.7976931348623157e308
 
 
@@ -49,9 +50,7 @@ class _Range:
 
 
 def _number(name: str) -> Column:
-    """The column as finite doubles: NaN counts as missing, infinities as the largest numbers."""
-    v = col(name).cast("double")
-    return F.when(v.isNotNull() & ~F.isnan(v), F.greatest(F.least(v, F.lit(_LARGEST)), F.lit(-_LARGEST)))
+    return _finite(col(name))
 
 
 def exact_quantiles(df: DataFrame, probs: dict[str, list[float]]) -> dict[str, list[float | None]]:
@@ -133,62 +132,89 @@ def _counted(df: DataFrame, ranges: list[_Range]) -> dict[_Range, list[tuple[flo
 def group_brackets(values: dict[str, Column], p: float,
                    accuracy: int = SKETCH_ACCURACY) -> list[Column]:
     """Aggregates ``__n_<name>``, ``__lo_<name>``, ``__hi_<name>`` per value: its rows in the group
-    and two of its values that enclose quantile ``p``. The sketches merge, so a huge group is
+    and a guess of two of its values that enclose quantile ``p``. The sketches merge, so a huge group is
     combined on the map side."""
     slack, out = 2.0 / accuracy, []
     for name, v in values.items():
+        v = _finite(v)
         near = F.percentile_approx(v, F.array(
             F.lit(max(p - slack, 0.0)), F.lit(min(p + slack, 1.0))), F.lit(accuracy))
-        small = F.count(v) <= SMALL_GROUP
-        out += [F.count(v).alias(f"__n_{name}"),
-                F.when(small, F.min(v)).otherwise(near[0]).alias(f"__lo_{name}"),
-                F.when(small, F.max(v)).otherwise(near[1]).alias(f"__hi_{name}")]
+        out += [F.count(v).alias(f"__n_{name}"), near[0].alias(f"__lo_{name}"), near[1].alias(f"__hi_{name}")]
     return out
 
 
 def quantiles_in_brackets(df: DataFrame, brackets: DataFrame, keys: Sequence[str],
                           values: dict[str, Column], p: float) -> DataFrame:
-    """(keys, names): quantile ``p`` of every value per group, exact.
+    """(keys, names): quantile ``p`` of every value per group, exact whatever the brackets.
 
-    A group keeps only its values strictly inside the bracket, a few ten-thousandths of its
-    rows, next to a count of those up to the lower end; repeated values never pile up.
-    ``brackets`` should be a written table, so that its size decides how it is joined.
+    ``brackets`` has the columns of ``group_brackets`` and should be a written table, so that its size
+    decides how it is joined. Groups without values have nulls.
     """
-    kept = [f"__{x}_{name}" for name in values for x in ("n", "lo", "hi")]
-    joined = df.join(brackets.select(*[col(k) for k in keys], *kept), list(keys))
-    found = joined.groupBy(*[col(k) for k in keys]).agg(
-        *[F.first(c).alias(c) for c in kept],
-        *[a for name, v in values.items() for a in (
-            F.count_if(v <= col(f"__lo_{name}")).alias(f"__upto_{name}"),
-            F.sort_array(F.collect_list(F.when(
-                (v > col(f"__lo_{name}")) & (v < col(f"__hi_{name}")), v))).alias(f"__in_{name}"))])
-
-    def quantile(name: str) -> Column:
-        lo, hi, inside = (col(f"__{x}_{name}") for x in ("lo", "hi", "in"))
-
-        def at(rank: Column) -> Column:
-            index = (rank - col(f"__upto_{name}")).cast("int")
-            return (F.when(index < 0, lo)
-                    .when(index < F.size(inside), inside[F.greatest(index, F.lit(0))]).otherwise(hi))
+    keys = list(keys)
+    by = [*[col(k) for k in keys], col("__value")]
+    names = [*keys, "__value"]
+    rows = df.select(*by[:-1], F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__value"), _finite(v).alias("__v")) for i, v in enumerate(values.values())]))
+    ).filter(col("__v").isNotNull())
+    open_ = brackets.select(*by[:-1], F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__value"), col(f"__n_{n}").alias("__n"), col(f"__lo_{n}").cast("double").alias("__lo"),
+                 col(f"__hi_{n}").cast("double").alias("__hi")) for i, n in enumerate(values)]))
+    ).filter("__n > 0").select(
+        *by, F.floor((col("__n") - 1) * F.lit(float(p))).alias("__rank"), F.lit(0).cast("long").alias("__below"),
+        "__lo", "__hi", F.lit(None).cast("double").alias("__next"))
+    v, lo, hi = col("__v"), col("__lo"), col("__hi")
+    place = F.floor(F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2) * GROUP_BUCKETS)
+    bucket = (F.when(v < lo, -1).when(v > hi, GROUP_BUCKETS).when(v == lo, 0).when(v == hi, GROUP_BUCKETS - 1)
+              .otherwise(F.least(F.greatest(F.coalesce(place, F.lit(0)), F.lit(0)), F.lit(GROUP_BUCKETS - 1)))).cast("int")
+    in_order = Window.partitionBy(*by).orderBy("__bucket")
+    settled, guessed = [], True
+    while True:
+        met = rows.join(open_, names)
+        if not guessed:         # the range is known to hold the rank
+            met = met.filter((v >= lo) & (v <= hi))
+        counted = met.groupBy(*by, bucket.alias("__bucket")).agg(
+            F.count("*").alias("__rows"), F.min(v).alias("__from"), F.max(v).alias("__to"),
+            *[F.first(c).alias(c) for c in ("__rank", "__below", "__next")])
+        so_far = col("__below") + F.coalesce(F.sum("__rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        chosen = counted.select(
+            *by, "__rank", "__rows", so_far.alias("__below"), col("__from").alias("__lo"), col("__to").alias("__hi"),
+            F.coalesce(F.lead("__from").over(in_order), col("__next")).alias("__next")).filter(
+            (col("__below") <= col("__rank")) & (col("__rank") < col("__below") + col("__rows")))
+        # Both values of a range of two rows are known: its ends.
+        known = (lo == hi) | (col("__rows") <= 2)
+        seen = Observation()    # counted while the state is written
+        state = keep(chosen.observe(seen, F.count_if(~known).alias("open")))
+        at_first = col("__rank") == col("__below")
+        more = (lo == hi) & (col("__rank") + 1 < col("__below") + col("__rows"))
+        settled.append(state.filter(known).select(
+            *by, F.when(at_first, lo).otherwise(hi).alias("__at"),
+            F.when(more, lo).when(at_first & (lo < hi), hi).otherwise(col("__next")).alias("__above")))
+        open_ = state.filter(~known).drop("__rows")
+        guessed = False
+        if not seen.get["open"]:
+            break
+    found = reduce(DataFrame.unionByName, settled)
+    own = brackets.select(*by[:-1], F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__value"), col(f"__n_{n}").alias("__n")) for i, n in enumerate(values)])))
+    part = (col("__n") - 1) * F.lit(float(p)) - F.floor((col("__n") - 1) * F.lit(float(p)))
+    at, above = _restored(col("__at")), _restored(col("__above"))
+    value = F.when((part > 0) & (above > at), at + (above - at) * part).otherwise(at)
+    return own.join(found, names, "left").groupBy(*by[:-1]).agg(
+        *[F.max(F.when(col("__value") == i, value)).alias(n) for i, n in enumerate(values)])
+
+
+def _finite(v: Column) -> Column:
+    """Finite doubles: NaN counts as missing, infinities as the largest numbers."""
+    v = v.cast("double")
+    return F.when(v.isNotNull() & ~F.isnan(v), F.greatest(F.least(v, F.lit(_LARGEST)), F.lit(-_LARGEST)))
 
-        position = (col(f"__n_{name}") - 1) * F.lit(float(p))
-        below, above = at(F.floor(position)), at(F.ceil(position))
-        value = below + (above - below) * (position - F.floor(position))
-        return F.when(col(f"__n_{name}") > 0, value).alias(name)
 
-    return found.select(*[col(k) for k in keys], *[quantile(name) for name in values])
+def _restored(v: Column) -> Column:
+    return F.when(F.abs(v) == F.lit(_LARGEST), F.signum(v) * F.lit(math.inf)).otherwise(v)
 
 
 def quantile_by_group(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
                       p: float, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """Brackets, then quantiles; reads ``df`` twice.
-
-    If the largest group would keep too many values, its brackets are drawn again, tighter.
-    """
-    largest = F.max(F.greatest(*[col(f"__n_{n}") for n in values], F.lit(0)))
-    while True:
-        brackets = keep(df.groupBy(*[col(k) for k in keys]).agg(*group_brackets(values, p, accuracy)))
-        rows = one_row(brackets.agg(largest))[0] or 0
-        if 4 * rows / accuracy <= VALUES_IN_ONE_GROUP or accuracy >= FINEST_ACCURACY:
-            return quantiles_in_brackets(df, brackets, keys, values, p)
-        accuracy *= 100
+    """Guessed brackets, then exact quantiles; reads ``df`` twice, and again for groups that are still open."""
+    brackets = keep(df.groupBy(*[col(k) for k in keys]).agg(*group_brackets(values, p, accuracy)))
+    return quantiles_in_brackets(df, brackets, keys, values, p)

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybeat.functions.quantiles import exact_quantiles, quantile_by_group
+from daybeat.functions.quantiles import quantiles_in_brackets
 import daybeat.functions.quantiles as quantiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -43,8 +44,7 @@ def test_extreme_numbers(spark, monkeypatch):
 @pytest.mark.parametrize("kind", ["uniform", "heavy ties", "mixed", "tails"])
 @pytest.mark.parametrize("p", [0.25, 0.5])
 def test_groups_of_all_sizes(spark, monkeypatch, kind, p):
-    monkeypatch.setattr(quantiles, "SMALL_GROUP", 100)
-    monkeypatch.setattr(quantiles, "VALUES_IN_ONE_GROUP", 50)
+    monkeypatch.setattr(quantiles, "GROUP_BUCKETS", 5)
     values, df = table(spark, kind)
     # one group holds most rows, others are tiny, one has no value
     group = [i % 300 if i % 3 == 0 and i < 3000 else 999 for i in range(len(values))]
@@ -56,3 +56,27 @@ def test_groups_of_all_sizes(spark, monkeypatch, kind, p):
     assert set(got) == set(group.tolist())
     for g, q in got.items():
         np.testing.assert_allclose(q, np.quantile(values[group == g], p), rtol=1e-12, atol=1e-12)
+
+
+@pytest.mark.parametrize("lo, hi", [(-1e9, -1e8), (1e8, 1e9), (0.5, 0.5), (3.0, -3.0), (-1e300, 1e300)])
+@pytest.mark.parametrize("p", [0.0, 0.5, 0.9, 1.0])
+def test_wrong_brackets_still_give_exact_quantiles(spark, lo, hi, p):
+    rnd = np.random.default_rng(3)
+    values = {1: rnd.normal(0, 1, 3001), 2: rnd.integers(0, 4, 500) * 1.0, 3: np.array([7.0]), 4: np.array([1.0, 2.0])}
+    rows = [(g, float(v)) for g, own in values.items() for v in own] + [(5, None), (5, float("nan"))]
+    df = spark.createDataFrame(rows, "g long, v double")
+    brackets = spark.createDataFrame([(g, len(values.get(g, [])), lo, hi) for g in (1, 2, 3, 4, 5)],
+                                     "g long, __n_q long, __lo_q double, __hi_q double")
+    got = {r.g: r.q for r in quantiles_in_brackets(df, brackets, ["g"], {"q": F.col("v")}, p).collect()}
+    assert got.pop(5) is None
+    for g, q in got.items():
+        np.testing.assert_allclose(q, np.quantile(values[g], p), rtol=1e-12, atol=1e-12)
+
+
+def test_extreme_numbers_in_groups(spark):
+    inf = float("inf")
+    values = [-inf, -1.7e308, -5e-324, 0.0, 5e-324, 1.0, 1.7e308, inf, inf]
+    df = spark.createDataFrame([(k % 2, v) for v in values for k in (0, 1)], "g long, v double")
+    for k in range(9):
+        got = quantile_by_group(df, ["g"], {"q": F.col("v")}, k / 8).collect()
+        assert [r.q for r in got] == [values[k]] * 2
