@@ -407,6 +407,60 @@ oracle("standard_scale", "SELECT * FROM scaled", " ".join(ACTIVITY))
 _dbscan("wide", "scaled", ACTIVITY, 2.2, 2)
 _dbscan("tight", "scaled", ACTIVITY, 1.0, 2)
 _dbscan("border", "scaled", ACTIVITY, 1.2, 4)
+
+
+def _kmeans(name: str, source: str, cols: list[str], ks: str, restarts: int, steps: int = 20) -> None:
+    """Lloyd's steps of all models at once: first centres by hash, then means of the nearest points."""
+    names = ", ".join(cols)
+    away = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in cols)
+    PARTS[f"{name}_start"] = f"""SELECT 0 AS step, k, r, rk - 1 AS cluster, {names} FROM (SELECT r, row_number() OVER (PARTITION BY r
+      ORDER BY md5(Id || ':' || r), Id) AS rk, {names} FROM {source}, range({restarts}) x(r)), {ks} y(k) WHERE rk <= k"""
+    near = f"""SELECT c.step, c.k, c.r, p.Id, min({{'cost': {away}, 'cluster': c.cluster}}) AS n,
+      {", ".join(f"any_value(p.{c}) AS {c}" for c in cols)} FROM {source} p, centres c GROUP BY ALL"""
+    PARTS[f"{name}_lloyd"] = f"""SELECT * FROM {name}_start UNION ALL
+      SELECT step + 1, k, r, cluster, {", ".join(f"COALESCE(m{i}, {c})" for i, c in enumerate(cols))}
+      FROM {name}_lloyd LEFT JOIN (SELECT k, r, n.cluster AS cluster, {", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(cols))}
+        FROM ({near.replace("centres", f"{name}_lloyd")}) GROUP BY ALL) USING (k, r, cluster) WHERE step < {steps}"""
+    PARTS[f"{name}_end"] = f"SELECT * FROM {name}_lloyd WHERE step = {steps}"
+    PARTS[f"{name}_near"] = near.replace("centres", f"{name}_end")
+    PARTS[f"{name}_cost"] = f"SELECT k, r, sum(n.cost) AS cost FROM {name}_near GROUP BY 1, 2"
+    PARTS[f"{name}_best"] = f"""SELECT k, arg_min(r, {{'cost': round(cost, 9), 'r': r}}) AS r FROM {name}_cost GROUP BY 1"""
+    PARTS[f"{name}_order"] = f"""SELECT k, r, cluster, row_number() OVER (PARTITION BY k ORDER BY {cols[0]} DESC, cluster) - 1 AS place
+      FROM {name}_end JOIN {name}_best USING (k, r)"""
+    PARTS[f"{name}_labels"] = f"""SELECT Id, CAST(place AS BIGINT) AS cluster FROM {name}_near x
+      JOIN {name}_order o ON x.k = o.k AND x.r = o.r AND x.n['cluster'] = o.cluster"""
+
+
+_kmeans("three", "scaled", ACTIVITY, "range(3, 4)", 1)
+_kmeans("again", "scaled", ACTIVITY, "range(3, 4)", 10)
+_kmeans("elbow", "scaled", ACTIVITY, "range(2, 11)", 1)
+oracle("kmeans", "SELECT * FROM three_labels")
+oracle("kmeans_restarts", "SELECT * FROM again_labels")
+oracle("kmeans_elbow", "SELECT k, min(cost) AS inertia FROM elbow_cost GROUP BY 1", "inertia", digits=2)
+
+
+def _pca(source: str, cols: list[str]) -> None:
+    """The two longest axes: the covariance matrix squared again and again comes to its first axis."""
+    cells = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, covar_samp({a}, {b}) AS x FROM {source}"
+                               for i, a in enumerate(cols) for j, b in enumerate(cols))
+    left = """SELECT s.i, s.j, s.x - l.x * a.x * b.x AS x FROM spread1 s JOIN axis1 a USING (i)
+      JOIN axis1 b ON s.j = b.i, length1 l"""
+    for k, spread in ((1, cells), (2, left)):
+        PARTS[f"spread{k}"] = spread
+        PARTS[f"power{k}"] = f"""SELECT 0 AS step, i, j, x FROM spread{k} UNION ALL
+          SELECT step + 1, i, j, x / sum(CASE WHEN i = j THEN x END) OVER () FROM (
+            SELECT a.step, a.i, b.j, sum(a.x * b.x) AS x FROM power{k} a JOIN power{k} b ON a.j = b.i WHERE a.step < 40 GROUP BY ALL)"""
+        PARTS[f"column{k}"] = f"""SELECT i, x FROM power{k} WHERE step = 40 AND j = (SELECT arg_max(j, x) FROM power{k} WHERE step = 40 AND i = j)"""
+        PARTS[f"axis{k}"] = f"""SELECT i, x / sqrt(sum(x * x) OVER ()) * sign(max(x) OVER () + min(x) OVER ()) AS x FROM column{k}"""
+        PARTS[f"length{k}"] = f"SELECT sum(a.x * s.x * b.x) AS x FROM spread{k} s JOIN axis{k} a USING (i) JOIN axis{k} b ON s.j = b.i"
+    PARTS["centred"] = "SELECT Id, unnest([" + ", ".join(f"{c} - avg({c}) OVER ()" for c in cols) + f"]) AS v, unnest(range({len(cols)})) AS i FROM {source}"
+
+
+_pca("scaled", ACTIVITY)
+oracle("pca_2d", """SELECT Id, sum(v * a.x) AS PC1, sum(v * b.x) AS PC2, any_value(explained_1) AS explained_1,
+  any_value(explained_2) AS explained_2 FROM centred JOIN axis1 a USING (i) JOIN axis2 b USING (i),
+  (SELECT length1.x / t AS explained_1, length2.x / t AS explained_2 FROM length1, length2,
+    (SELECT sum(x) AS t FROM spread1 WHERE i = j)) GROUP BY Id""", "PC1 PC2 explained_1 explained_2")
 oracle("dbscan", "SELECT * FROM wide_labels")
 oracle("dbscan_tight", "SELECT * FROM tight_labels")
 oracle("dbscan_border", "SELECT * FROM border_labels")

@@ -449,10 +449,16 @@ def _(spark, sf):
 
 # ---- forecasting -------------------------------------------------------------------------
 
+def _daily_sleep(spark, sf) -> DataFrame:
+    """Days with their minutes of sleep; the heart rates of the full master are not needed."""
+    tables = _daily_roles(spark, sf)
+    return pipelines.master_daily({role: tables[role] for role in ("daily_activity", "minute_sleep")})
+
+
 def _history(spark, sf) -> DataFrame:
     steps = series.daily_cross_user_mean(_daily(spark, sf), "TotalSteps", "ActivityDate")
     hr = series.daily_hr_two_step_mean_of_segments(series.minute_segments(_hr(spark, sf)))
-    sleep = series.daily_cross_user_mean(_master(spark, sf), "TotalSleepMinutes")
+    sleep = series.daily_cross_user_mean(_daily_sleep(spark, sf), "TotalSleepMinutes")
     long = (forecast.series_of(steps, "ActivityDate", "TotalSteps", "steps")
             .unionByName(forecast.series_of(hr, "Date", "Value", "heart rate"))
             .unionByName(forecast.series_of(sleep, "Date", "TotalSleepMinutes", "sleep")))
@@ -511,7 +517,12 @@ def _(spark, sf):
 
 @query("kmeans_elbow", 2)
 def _(spark, sf):
-    return cluster.kmeans_elbow(_scaled(_user_matrix(spark, sf)), ACTIVITY)
+    return cluster.kmeans_elbow(_scaled(_user_matrix(spark, sf)), ACTIVITY, key="Id")
+
+
+@query("kmeans_restarts")
+def _(spark, sf):
+    return cluster.kmeans(_scaled(_user_matrix(spark, sf)), "Id", ACTIVITY, restarts=10)
 
 
 @query("dbscan")
@@ -531,7 +542,7 @@ def _(spark, sf):
 
 @query("pca_2d")
 def _(spark, sf):
-    coordinates, ratio = cluster.pca_2d(_scaled(_user_matrix(spark, sf)), "Id", ACTIVITY)
+    coordinates, ratio = cluster.pca_2d(keep(_scaled(_user_matrix(spark, sf))), "Id", ACTIVITY)
     return coordinates.withColumns({f"explained_{i + 1}": F.lit(r) for i, r in enumerate(ratio)})
 
 

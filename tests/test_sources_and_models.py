@@ -146,6 +146,25 @@ def test_elbow_never_rises_and_matches_distances(spark):
     assert costs[1] == pytest.approx(sum(((p - p.mean(0)) ** 2).sum() for p in parts), rel=1e-6)
 
 
+def test_all_models_are_fitted_in_shared_passes(spark):
+    """Fitting many models together gives what each gives alone, and equal points leave empty clusters."""
+    x, df = blobs(spark)
+    points = cluster._points(df, ["a", "b", "c"], "Id")
+    models, costs = cluster.fit_kmeans(points, 3, range(2, 5), restarts=3)
+    assert set(models) == set(costs) == {(k, r) for k in (2, 3, 4) for r in (0, 1, 2)}
+    for (k, r), centres in models.items():
+        away = ((x[:, None, :] - np.array(centres)[None]) ** 2).sum(-1)
+        assert costs[k, r] == pytest.approx(away.min(axis=1).sum())
+        for i in set(away.argmin(axis=1)):      # a fixed point of the step
+            np.testing.assert_allclose(centres[i], x[away.argmin(axis=1) == i].mean(axis=0))
+    same = spark.createDataFrame([(i, 1.0) for i in range(9)], "Id long, a double")
+    assert {r.cluster for r in cluster.kmeans(same, "Id", ["a"], 3).collect()} == {0}
+    few = spark.createDataFrame([(1, 5.0), (2, 9.0), (3, None)], "Id long, a double")
+    assert {r.Id: r.cluster for r in cluster.kmeans(few, "Id", ["a"], 3).collect()} == {1: 1, 2: 0}
+    assert cluster.kmeans(few.limit(0), "Id", ["a"], 3).count() == 0
+    assert cluster.kmeans_elbow(few.limit(1), ["a"]).count() == 0
+
+
 def test_pca_ratio_and_sign(spark):
     x, df = blobs(spark)
     x = x - x.mean(0)
