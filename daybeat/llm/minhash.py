@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..session import discard, keep
 from .arrow import add_columns
 from .components import components
+from .rows import by_row
 from .shingles import mixed, shingle_set
 
 # A pair at similarity 0.8 misses all bands with chance (1 - 0.8^5)^32 = 3e-6.
@@ -158,12 +159,15 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
 
 
 def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` that ``near_duplicates`` keeps, one for each id, columns unchanged."""
-    judged = near_duplicates(df, id, text, **options)
-    gone = judged.filter(~col("kept")).select(col(id).alias("__gone")).distinct()
-    left = df.join(gone, col(f"`{id}`") == col("__gone"), "left_anti")
-    again = judged.filter(col("kept") & col(id).isNotNull()).groupBy(id).count().filter("count > 1")
-    if again.isEmpty():
-        return left
-    named = left.filter(col(f"`{id}`").isNotNull()).dropDuplicates([id])
-    return named.unionByName(left.filter(col(f"`{id}`").isNull()))
+    """The rows of ``df`` that ``near_duplicates`` keeps, columns unchanged.
+
+    Rows that share an id are told apart by their texts: a text stays unless it is linked with one before
+    it, by id and then by hash of the text. Of rows that share both id and text one stays.
+    """
+    def left(rows: DataFrame, name: str) -> DataFrame:
+        judged = near_duplicates(rows, name, text, **options)
+        gone = judged.filter(~col("kept")).select(col(name).alias("__gone")).distinct()
+        kept = rows.join(gone, col(f"`{name}`") == col("__gone"), "left_anti")
+        return kept if name == id else kept.dropDuplicates([name])
+
+    return by_row(df, id, text, left)

@@ -78,3 +78,15 @@ def test_components_equal_union_find(spark):
     want = smallest_reachable({n for e in edges if e[0] != e[1] for n in e}, edges)
     assert got == want
     assert components(df.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    """Three unlike texts under two ids stay; a near copy goes whatever id it shares."""
+    unlike = [prose(120, 70 + k) for k in range(3)]
+    rows = [(1, unlike[0]), (1, unlike[1]), (2, unlike[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, m.deduplicated(docs).collect())) == sorted(rows)
+    more = rows + [(1, edited(unlike[2], 100, 1)), (3, unlike[0]), (3, prose(90, 80)), (None, unlike[0]), (None, None)]
+    left = m.deduplicated(spark.createDataFrame(more, "doc_id long, text string"))
+    want = [(1, unlike[0]), (1, unlike[1]), (1, edited(unlike[2], 100, 1)), (3, prose(90, 80)), (None, unlike[0]), (None, None)]
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(want, key=repr)
