@@ -434,6 +434,10 @@ def _kmeans(name: str, source: str, cols: list[str], ks: str, restarts: int, ste
 _kmeans("three", "scaled", ACTIVITY, "range(3, 4)", 1)
 _kmeans("again", "scaled", ACTIVITY, "range(3, 4)", 10)
 _kmeans("elbow", "scaled", ACTIVITY, "range(2, 11)", 1)
+oracle("sketch_quantiles", """SELECT name AS "column", p, n AS rows, true AS within FROM (
+  SELECT 'TotalSteps' AS name, count(TotalSteps) AS n FROM da WHERE ActivityDate BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
+  UNION ALL SELECT 'Calories', count(Calories) FROM da WHERE ActivityDate BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'),
+  (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) x(p)""", "p")
 oracle("kmeans", "SELECT * FROM three_labels")
 oracle("kmeans_restarts", "SELECT * FROM again_labels")
 oracle("kmeans_elbow", "SELECT k, min(cost) AS inertia FROM elbow_cost GROUP BY 1", "inertia", digits=2)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import col, fixed
 from ..functions.ordered import time_block
+from ..functions.sketches import RANK_ERROR, daily_sketches, sketch_quantiles
 from ..operators import (clean, cluster, detect, features, forecast, impute, outliers, profile,
                          report, series)
 from ..operators.dbscan import dbscan
@@ -520,6 +521,21 @@ def _(spark, sf):
     return cluster.kmeans_elbow(_scaled(_user_matrix(spark, sf)), ACTIVITY, key="Id")
 
 
+@query("sketch_quantiles")
+def _(spark, sf):
+    """Quartiles of a range of days from kept sketches, and whether their true ranks are within the bound."""
+    cols, days = ["TotalSteps", "Calories"], _daily(spark, sf)
+    kept = keep(daily_sketches(days, "ActivityDate", cols))
+    found = sketch_quantiles(kept, cols, (0.25, 0.5, 0.75), FIRST_DAY, LAST_DAY)
+    values = (days.filter(col("ActivityDate").between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")))
+              .unpivot([], [col(c).cast("double").alias(c) for c in cols], "column", "v").dropna())
+    v, q, share = F.col("v"), F.col("quantile"), F.col("p") * F.col("rows")
+    slack = F.first("rows") * F.lit(RANK_ERROR)
+    return values.join(found, "column").groupBy("column", "p").agg(
+        F.first("rows").alias("rows"), ((F.count_if(v < q) - slack <= F.first(share))
+                                        & (F.count_if(v <= q) + slack >= F.first(share))).alias("within"))
+
+
 @query("kmeans_restarts")
 def _(spark, sf):
     return cluster.kmeans(_scaled(_user_matrix(spark, sf)), "Id", ACTIVITY, restarts=10)
