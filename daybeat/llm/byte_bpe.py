@@ -6,7 +6,7 @@ split over tokens comes back whole.
 
 Texts are cut where a single space stands between two characters that are not white space: the
 pattern of the vocabulary always cuts there, so the ids of a text are the ids of its cuts one
-after the other, and a worker encodes each different cut once.
+after the other, and each different cut of a batch is encoded once.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 import functools
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -23,8 +23,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .arrow import add_columns
 
-# Different cuts a worker remembers; beyond it, it starts afresh. Bounds memory, never results.
-REMEMBERED = 250_000
+# Different cuts a worker remembers at least, and their longest length; longer ones are encoded with their
+# batch. Bounds memory, never results.
+REMEMBERED, REMEMBERED_LENGTH = 250_000, 64
+# Cuts encoded as one text.
+TOGETHER = 4_096
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _NEEDS_CARE = re.compile(r"\s\s|^\s|\s\Z")
 
@@ -66,25 +69,47 @@ def cuts(text: str) -> list[str]:
 
 
 class _Encoder:
-    """Ids of texts, each different cut encoded once until the memory is full."""
+    """Ids of texts; each different cut of a batch is encoded once, and short ones are remembered.
 
-    def __init__(self, vocabulary: str):
-        self.tokenizer, self.known = _tokenizer(vocabulary), {}
-
-    def learn(self, parts: Iterable[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = [p for p in parts if p not in self.known]
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[part] = found.ids
+    Ids are kept as the bytes of 32-bit integers, by cuts without the space before them. A cut that was
+    not met while ``REMEMBERED`` others were is forgotten.
+    """
 
-    def ids(self, text: str) -> list[int]:
-        if not text:
-            return []
-        first, *rest = cuts(text)
-        rest = [" " + part for part in rest]
-        self.learn({first, *rest})
-        return list(chain(self.known[first], chain.from_iterable(map(self.known.__getitem__, rest))))
+    def __init__(self, vocabulary: str):
+        self.tokenizer = _tokenizer(vocabulary)
+        self.sizes = np.array([len(b) for b in token_bytes(vocabulary)])
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learned(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Cuts that follow a space and their ids; they are encoded as one text, which is parted by its bytes."""
+        for k in range(0, len(parts), TOGETHER):
+            some = parts[k:k + TOGETHER]
+            ids, = self.encoded([" " + " ".join(some)])
+            ends = np.cumsum([1 + len(p.encode()) for p in some])
+            stops = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+            for part, start, stop in zip(some, [0, *stops[:-1].tolist()], stops.tolist()):
+                yield part, ids[start:stop].tobytes()
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        split = [cuts(t) if t else [""] for t in texts]
+        needed = set(chain.from_iterable(c[1:] for c in split))
+        if len(self.recent) > REMEMBERED:
+            self.recent, self.older = {}, self.recent
+        new = needed.difference(self.recent)
+        again = new.intersection(self.older)
+        self.recent.update((p, self.older[p]) for p in again)
+        known, passing = self.recent, {}
+        for part, own in self.learned(sorted(new - again)):
+            (known if len(part) <= REMEMBERED_LENGTH else passing)[part] = own
+        if passing:
+            known = known | passing
+        firsts = self.encoded([c[0] for c in split])
+        return [np.frombuffer(b"".join([first.tobytes(), *map(known.__getitem__, c[1:])]), np.int32)
+                for first, c in zip(firsts, split)]
 
 
 @functools.cache
@@ -103,7 +128,7 @@ def places(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return character[ends - lengths], character[ends - 1] + 1
 
 
-def _lists(rows: list, kind: pa.DataType) -> pa.Array:
+def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     sizes = np.fromiter((len(r) for r in rows), np.int64, len(rows))
     flat = np.concatenate([np.asarray(r, np.int32) for r in rows]) if rows else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
@@ -125,14 +150,14 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", offsets: bool = F
 
     def make(values: list[bytes | None]) -> list[pa.Array]:
         encoder, as_bytes = _encoder(vocabulary), token_bytes(vocabulary)
-        ids = [encoder.ids((v or b"").decode()) for v in values]
+        ids = encoder.ids([(v or b"").decode() for v in values])
         out = [_lists(ids, pa.int32())]
         if offsets:
-            spans = [places(v, np.fromiter((len(as_bytes[i]) for i in own), np.int64, len(own)))
-                     if own else ([], []) for v, own in zip(values, ids)]
+            spans = [places(v, np.fromiter((len(as_bytes[i]) for i in own.tolist()), np.int64, len(own)))
+                     if len(own) else ([], []) for v, own in zip(values, ids)]
             out += [_lists([s[k] for s in spans], pa.int32()) for k in (0, 1)]
         if decoded:
-            out.append(pa.array([b"".join(map(as_bytes.__getitem__, own)) for own in ids], pa.binary()))
+            out.append(pa.array([b"".join(map(as_bytes.__getitem__, own.tolist())) for own in ids], pa.binary()))
         return out
 
     return add_columns(df, text, fields, make)

@@ -67,8 +67,20 @@ def test_empty_table(spark):
     assert byte_bpe.encode(documents(spark).limit(0), VOCABULARY, decoded=True).count() == 0
 
 
-def test_forgetting_changes_nothing(spark, reference, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
+@pytest.mark.parametrize("most, longest, together", [(3, 64, 2), (250_000, 3, 4_096), (0, 0, 1)])
+def test_forgetting_changes_nothing(reference, monkeypatch, most, longest, together):
+    monkeypatch.setattr(byte_bpe, "TOGETHER", together)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", most)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_LENGTH", longest)
     encoder = byte_bpe._Encoder(VOCABULARY)
-    for text in ("one two three four five six", "two three seven eight nine", "one one one"):
-        assert encoder.ids(text) == reference.encode_ordinary(text)
+    for texts in (["one two three four five six", "", "two three seven"], ["eight nine nine eight", "one"], [], ["one one one"]):
+        assert [x.tolist() for x in encoder.ids(texts)] == [reference.encode_ordinary(t) for t in texts]
+
+
+def test_long_unspaced_texts_are_not_remembered(reference):
+    encoder = byte_bpe._Encoder(VOCABULARY)
+    texts = ["漢字仮名" * 500 + str(k) for k in range(20)] + ["short " + "x" * 300]
+    assert [x.tolist() for x in encoder.ids(texts)] == [reference.encode_ordinary(t) for t in texts]
+    assert not encoder.recent
+    encoder.ids(["a short one " + "x" * 300])
+    assert set(encoder.recent) == {"short", "one"}
