@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 
-from .queries import FIRST_DAY, HR, LAST_DAY, ONE_USER, SLEEP, STEPS
+from .queries import BENDS, FIRST_DAY, HR, LAST_DAY, ONE_USER, SLEEP, STEPS, USER_BENDS
 from ..operators.detect import EXTREME_VALUES
+from ..operators.forecast import PENALTY, bend_places
 
 PARTS: dict[str, str] = {}
 ORACLES: dict[str, str] = {}
@@ -367,6 +368,42 @@ oracle("forecast_components", "SELECT * FROM fitted", "trend weekly noise", "ds"
 oracle("forecast_trend_weekly", """SELECT series, ds, trend + weekly AS yhat, trend + weekly - 1.2815515655446004::DOUBLE * noise AS yhat_lower,
   trend + weekly + 1.2815515655446004::DOUBLE * noise AS yhat_upper FROM fitted""", "yhat yhat_lower yhat_upper", "ds")
 
+
+def _bent(name: str, source: str, bends: int, horizon: int) -> None:
+    """Trend with bends: the cells of every series' system as rows, one elimination step a subquery."""
+    n = bends + 2
+    columns = ["1.0::DOUBLE", "x", *[f"greatest(x - {s!r}::DOUBLE, 0.0::DOUBLE)" for s in bend_places(bends)]]
+    PARTS[f"{name}_days"] = f"""SELECT series, ds, y, t, t / greatest(max(t) OVER (PARTITION BY series), 1.0::DOUBLE) AS x
+      FROM (SELECT *, datediff('day', min(ds) OVER (PARTITION BY series), ds)::DOUBLE AS t FROM {source})"""
+    weights = [0.0, 1e-9] + [PENALTY] * bends
+    cells = [f"""SELECT series, {i} AS i, {j} AS j, sum({columns[i]} * {columns[j] if j < n else 'y'}){
+        f' + count(*) * {weights[i]!r}::DOUBLE' if i == j else ''} AS v FROM {name}_days GROUP BY 1"""
+             for i in range(n) for j in range(n + 1)]
+    PARTS[f"{name}_step0"] = " UNION ALL ".join(cells)
+    for k in range(n):
+        PARTS[f"{name}_step{k + 1}"] = f"""SELECT series, i, j, CASE WHEN i = {k} THEN v ELSE v - (max(v) FILTER (i = {k}) OVER (PARTITION BY series, j))
+          * (max(v) FILTER (j = {k}) OVER (PARTITION BY series, i)) / (max(v) FILTER (i = {k} AND j = {k}) OVER (PARTITION BY series)) END AS v
+          FROM {name}_step{k}"""
+    PARTS[f"{name}_solved"] = "SELECT series, " + ", ".join(
+        f"max(v) FILTER (i = {k} AND j = {n}) / max(v) FILTER (i = {k} AND j = {k}) AS c{k}" for k in range(n)) + f" FROM {name}_step{n} GROUP BY 1"
+    trend = " + ".join(f"c{k} * ({c})" for k, c in enumerate(columns))
+    PARTS[f"{name}_all"] = f"""SELECT series, ds, y, {trend} AS trend FROM (SELECT series, ds, y, x FROM {name}_days
+      UNION ALL SELECT series, CAST(last_ds + CAST(k AS INTEGER) AS DATE), NULL, (last_t + k) / greatest(last_t, 1.0::DOUBLE)
+      FROM (SELECT series, max(ds) AS last_ds, max(t) AS last_t FROM {name}_days GROUP BY 1), range(1, {horizon + 1}) r(k))
+      JOIN {name}_solved USING (series)"""
+    PARTS[f"{name}_weeks"] = f"SELECT *, COALESCE(avg(y - trend) OVER (PARTITION BY series, isodow(ds)), 0) AS weekly FROM {name}_all"
+    PARTS[f"{name}_fit"] = f"""SELECT series, ds, trend, weekly, COALESCE(stddev_samp(y - trend - weekly) OVER (PARTITION BY series), 0) AS noise
+      FROM {name}_weeks"""
+
+
+PARTS["user_history"] = """SELECT Id AS series, ActivityDate AS ds, TotalSteps AS y FROM da WHERE TotalSteps IS NOT NULL
+  AND Id IN (SELECT Id FROM da WHERE TotalSteps IS NOT NULL GROUP BY 1 HAVING count(*) >= 10)"""
+_bent("bent", "history", BENDS, 30)
+oracle("forecast_trend_bends", """SELECT series, ds, trend + weekly AS yhat, trend + weekly - 1.2815515655446004::DOUBLE * noise AS yhat_lower,
+  trend + weekly + 1.2815515655446004::DOUBLE * noise AS yhat_upper FROM bent_fit""", "yhat yhat_lower yhat_upper", "ds")
+_bent("user_bent", "user_history", USER_BENDS, 7)
+oracle("forecast_bends_by_user", "SELECT * FROM user_bent_fit", "trend weekly noise", "ds")
+
 # ---- user profiles and clustering ---------------------------------------------------------
 
 _user_metrics = ACTIVITY + _hr_cols + ["TotalSleepMinutes"]

@@ -482,6 +482,23 @@ def _(spark, sf):
     return forecast.forecast_components(_history(spark, sf))
 
 
+# Places where the trends of the next two queries may bend.
+BENDS, USER_BENDS = 5, 2
+
+
+@query("forecast_trend_bends")
+def _(spark, sf):
+    return forecast.forecast_trend_weekly(_history(spark, sf), bends=BENDS)
+
+
+@query("forecast_bends_by_user")
+def _(spark, sf):
+    """One series per user, all fitted together."""
+    daily = _daily(spark, sf).select(F.col("Id"), "ActivityDate", "TotalSteps")
+    history = keep(forecast.forecast_input(daily, "ActivityDate", "TotalSteps", "Id"))
+    return forecast.forecast_components(history, horizon=7, bends=USER_BENDS)
+
+
 # ---- user profiles and clustering --------------------------------------------------------
 
 @query("user_features")
