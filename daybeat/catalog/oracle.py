@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from .queries import BENDS, FIRST_DAY, HR, LAST_DAY, ONE_USER, SLEEP, STEPS, USER_BENDS
+from .queries import BENDS, CORRECTED_DAY, FIRST_DAY, HR, LAST_DAY, ONE_USER, SLEEP, STEPS, USER_BENDS
 from ..operators.detect import EXTREME_VALUES
 from ..operators.forecast import PENALTY, bend_places
 
@@ -167,6 +167,13 @@ oracle("cleaning_report", f"""SELECT 'daily_activity' AS "table", count(*) AS ro
   (SELECT count(*) FROM da_dated) AS rows_after,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM da_raw)) AS duplicates,
   sum({_nulls(RAW_COLUMNS)})::BIGINT AS nulls_before, 0::BIGINT AS nulls_after FROM da_raw""")
+oracle("cleaning_report_files", " UNION ALL ".join(f"""SELECT '{role}' AS "table", count(*) AS rows_before,
+  (SELECT count(*) FROM {after}) AS rows_after, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {raw})) AS duplicates,
+  sum({_nulls(cols)})::BIGINT AS nulls_before, 0::BIGINT AS nulls_after FROM {raw}""" for role, raw, after, cols in (
+    ("daily_activity", "da_raw", "da_dated", RAW_COLUMNS), ("heartrate", "hr_gaps", "(SELECT DISTINCT * FROM hr_gaps)", ["Id", "Time", "Value"]),
+    ("hourly_steps", "hs", "hs", ["Id", "ActivityHour", "StepTotal"]),
+    ("hourly_intensities", "hi", "hi", ["Id", "ActivityHour", "TotalIntensity", "AverageIntensity"]),
+    ("minute_sleep", "ms", "(SELECT DISTINCT * FROM ms)", ["Id", "date", "value", "logId"]))))
 oracle("cleaning_actions", f"""SELECT *, CASE WHEN "column" IN ({', '.join(repr(c) for c in
        _numbers + ['Record', 'User_ID', 'Active_Minutes', 'Hours_Slept', 'Heart_Rate (bpm)'])})
   THEN 'filled — interpolation' ELSE 'filled with ''Unknown''' END AS action FROM ({_null_rows}) WHERE nulls > 0""")
@@ -475,6 +482,9 @@ oracle("sketch_quantiles", """SELECT name AS "column", p, n AS rows, true AS wit
   SELECT 'TotalSteps' AS name, count(TotalSteps) AS n FROM da WHERE ActivityDate BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
   UNION ALL SELECT 'Calories', count(Calories) FROM da WHERE ActivityDate BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'),
   (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) x(p)""", "p")
+oracle("distinct_sketches", " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(DISTINCT ActivityDate) AS days,
+  count(DISTINCT {c}) AS exact, true AS within FROM da WHERE ActivityDate BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"""
+                                               for c in ("Id", "TotalSteps")))
 oracle("kmeans", "SELECT * FROM three_labels")
 oracle("kmeans_restarts", "SELECT * FROM again_labels")
 oracle("kmeans_elbow", "SELECT k, min(cost) AS inertia FROM elbow_cost GROUP BY 1", "inertia", digits=2)
@@ -620,6 +630,9 @@ oracle("detector_recall", f"""SELECT *, accuracy >= 90 AS passed FROM (SELECT si
 # ---- dashboard and export -----------------------------------------------------------------
 
 _range = f"BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"
+oracle("master_by_day", f"""SELECT * REPLACE (TotalSteps + CASE WHEN Date = DATE '{CORRECTED_DAY}' THEN 1000 ELSE 0 END AS TotalSteps)
+  FROM md WHERE Date {_range} AND NOT (Date = DATE '{CORRECTED_DAY}' AND Id % 3 = 0)""",
+       _moving + " " + " ".join(_hr_cols) + " TotalSleepMinutes", "Date")
 oracle("filter_dates", f"SELECT * FROM da WHERE ActivityDate {_range}", _moving, "ActivityDate")
 oracle("filter_user", f"SELECT * FROM da WHERE Id = {ONE_USER}", _moving, "ActivityDate")
 

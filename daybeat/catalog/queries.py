@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import col, fixed
 from ..functions.ordered import time_block
-from ..functions.sketches import RANK_ERROR, daily_sketches, sketch_quantiles
+from ..functions.sketches import (DISTINCT_ERROR, RANK_ERROR, daily_distinct, daily_sketches, distinct_between,
+                                  sketch_quantiles)
 from ..operators import (clean, cluster, detect, features, forecast, impute, outliers, profile,
                          report, series)
 from ..operators.dbscan import dbscan
 from ..plans import pipelines
 from ..session import configure, keep, shared_folder
-from ..sources import tables as io
+from ..sources import dated, tables as io
 from . import roles as given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +174,15 @@ def _(spark, sf):
                                    {"daily_activity": pipelines.clean_file(raw, "daily_activity")})
 
 
+@query("cleaning_report_files")
+def _(spark, sf):
+    """All five files, counted while the cleaned tables are written."""
+    events = _events(spark, sf)
+    raw = given.roles(spark, sf) | {"daily_activity": given.daily_activity_raw(events),
+                                    "heartrate": given.heartrate_with_gaps(events)}
+    return pipelines.clean_files(raw)[1]
+
+
 @query("cleaning_actions")
 def _(spark, sf):
     return profile.cleaning_actions({"daily_activity": _raw_daily(spark, sf),
@@ -553,6 +563,17 @@ def _(spark, sf):
                                         & (F.count_if(v <= q) + slack >= F.first(share))).alias("within"))
 
 
+@query("distinct_sketches")
+def _(spark, sf):
+    """Users and step counts of a range of days from kept sketches, and whether they are within the bound."""
+    cols, days = ["Id", "TotalSteps"], _daily(spark, sf)
+    found = distinct_between(keep(daily_distinct(days, "ActivityDate", cols)), cols, FIRST_DAY, LAST_DAY)
+    exact = report.filter_dates(days, FIRST_DAY, LAST_DAY, "ActivityDate").agg(
+        *[F.count_distinct(col(c)).alias(c) for c in cols]).unpivot([], [col(c) for c in cols], "column", "exact")
+    return found.join(exact, "column").select("column", "days", "exact", (F.abs(
+        F.col("distinct") - F.col("exact")) <= F.col("exact") * DISTINCT_ERROR).alias("within"))
+
+
 @query("kmeans_restarts")
 def _(spark, sf):
     return cluster.kmeans(_scaled(_user_matrix(spark, sf)), "Id", ACTIVITY, restarts=10)
@@ -705,6 +726,20 @@ def _(spark, sf):
 
 # ---- dashboard and export ----------------------------------------------------------------
 
+# The day that the next query replaces.
+CORRECTED_DAY = "2024-01-15"
+
+
+@query("master_by_day")
+def _(spark, sf):
+    """The master kept by day, one day replaced by corrected rows, and a range of days read back."""
+    path, master = f"{shared_folder(spark)}/master", keep(_master(spark, sf))
+    dated.write_days(master, path)
+    corrected = report.filter_dates(master, CORRECTED_DAY, CORRECTED_DAY).filter(F.col("Id") % 3 != 0)
+    dated.replace_days(corrected.withColumn("TotalSteps", F.col("TotalSteps") + 1000), path)
+    return dated.read_days(spark, path, master.schema, FIRST_DAY, LAST_DAY)
+
+
 @query("filter_dates")
 def _(spark, sf):
     return report.filter_dates(_daily(spark, sf), FIRST_DAY, LAST_DAY, "ActivityDate")

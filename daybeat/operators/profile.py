@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..functions.columns import col, first_column, numeric_columns, text_columns
 from ..functions.ordered import previous_value
@@ -180,6 +180,25 @@ def cleaning_report(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) -> D
             .agg(*[F.sum(c).alias(c) for c in sums]))
 
 
+def counted_distinct(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The different rows of ``df`` and, once they are written, ``rows``, ``duplicates`` and ``nulls`` of ``df``.
+
+    The counts come with the write itself, behind its shuffle, so a lost executor does not count twice.
+    """
+    seen, zero = Observation(), F.lit(0)
+    copies = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("__n"))
+    out = copies.observe(seen, F.coalesce(F.sum("__n"), zero).alias("rows"),
+                         F.coalesce(F.sum(F.col("__n") - 1), zero).alias("duplicates"),
+                         F.coalesce(F.sum(F.col("__n") * _missing(df)), zero).alias("nulls"))
+    return out.drop("__n"), seen
+
+
+def counted_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and, once it is written, its ``rows`` and ``nulls``."""
+    seen = Observation()
+    return df.observe(seen, F.count("*").alias("rows"), F.coalesce(F.sum(_missing(df)), F.lit(0)).alias("nulls")), seen
+
+
 def cleaning_actions(raw: dict[str, DataFrame]) -> DataFrame:
     """Per table and column with nulls: how cleaning treats them."""
     action = {}

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_date, col, half_even, numeric_columns, text_columns
 from ..functions.ordered import RANGES, fill, time_block
-from ..operators import clean, impute, series
+from ..operators import clean, impute, profile, series
 from ..operators.dbscan import dbscan
 from ..operators.features import standard_scale, user_features_fixed
-from ..session import keep, one_row
+from ..session import discard, keep, one_row
 from ..sources.tables import TIMESTAMP_COLUMNS
 
 # Rows of one user inside one block stay few: seconds per day, hours per month, days per year.
@@ -34,11 +34,34 @@ def _as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def clean_file(df: DataFrame, role: str, key: str = "Id") -> DataFrame:
     """Drop repeated rows and rows without a time, fill numbers per user then by the column
     median, fill texts. Numbers become double; the user id is never filled."""
+    return _clean_distinct(df, clean.drop_duplicates(df), role, key)
+
+
+def clean_files(tables: dict[str, DataFrame], key: str = "Id") -> tuple[dict[str, DataFrame], DataFrame]:
+    """``clean_file`` of every role's table, written, and their ``cleaning_report``.
+
+    The report is counted while the tables are written: each raw table is read once.
+    """
+    cleaned, rows = {}, []
+    for role, df in tables.items():
+        distinct, before = profile.counted_distinct(df)
+        distinct = keep(distinct)
+        filled, after = profile.counted_rows(_clean_distinct(distinct, distinct, role, key))
+        cleaned[role] = keep(filled)
+        discard(distinct)
+        rows.append((role, before.get["rows"], after.get["rows"], before.get["duplicates"], before.get["nulls"], after.get["nulls"]))
+    spark = next(iter(tables.values())).sparkSession
+    return cleaned, spark.createDataFrame(
+        rows, "table string, rows_before long, rows_after long, duplicates long, nulls_before long, nulls_after long")
+
+
+def _clean_distinct(df: DataFrame, distinct: DataFrame, role: str, key: str) -> DataFrame:
+    """``clean_file`` of ``df``, whose different rows are ``distinct``."""
     time = TIMESTAMP_COLUMNS[role]
     numbers = numeric_columns(df, (key,))
     texts = text_columns(df, (time,))
     gaps = _with_gaps(df, numbers)
-    out = clean.drop_invalid_timestamps(clean.parse_timestamps(clean.drop_duplicates(df), [time]), time)
+    out = clean.drop_invalid_timestamps(clean.parse_timestamps(distinct, [time]), time)
     out = _as_double(out, numbers)
     if gaps:
         if key in df.columns:
