@@ -309,8 +309,9 @@ PARTS["mi"] = """SELECT DISTINCT da.*, da.ActivityDate AS date_only, h.AvgHeartR
   LEFT JOIN (SELECT Id, CAST(ActivityHour AS DATE) AS d, sum(StepTotal) AS StepTotal FROM hs GROUP BY 1, 2) s ON da.Id = s.Id AND ActivityDate = s.d
   LEFT JOIN (SELECT Id, CAST(date AS DATE) AS d, sum(value) AS TotalSleepMinutes FROM ms GROUP BY 1, 2) z ON da.Id = z.Id AND ActivityDate = z.d"""
 PARTS["mi_filled"] = filled("mi", ACTIVITY + _sums, "ActivityDate", "Id", "Id, ActivityDate, date_only")
-oracle("master_imputed", "SELECT Id, ActivityDate, date_only, " + ", ".join(
-    f"COALESCE({c}, (SELECT quantile_cont({c}, 0.5) FROM mi_filled)) AS {c}" for c in ACTIVITY + _sums) + " FROM mi_filled",
+PARTS["mi_imputed"] = "SELECT Id, ActivityDate, date_only, " + ", ".join(
+    f"COALESCE({c}, (SELECT quantile_cont({c}, 0.5) FROM mi_filled)) AS {c}" for c in ACTIVITY + _sums) + " FROM mi_filled"
+oracle("master_imputed", "SELECT * FROM mi_imputed",
        " ".join(ACTIVITY + _sums), "ActivityDate date_only")
 _hr_cols = ["AvgHR", "MaxHR", "MinHR", "StdHR"]
 PARTS["md"] = f"""SELECT da.Id, ActivityDate AS Date, {', '.join('da.' + c for c in ACTIVITY)}, {', '.join(
@@ -525,6 +526,14 @@ oracle("cluster_profile", "SELECT cluster, " + ", ".join(f"{half_even(f'avg({c})
 oracle("cluster_profile_long", " UNION ALL ".join(
     f"""SELECT cluster, '{c}' AS "Metric", avg({c}) AS "Average", 'Group ' || cluster AS "Group"
     FROM um_activity JOIN tight_labels USING (Id) GROUP BY 1""" for c in _shown), "Average")
+PARTS["um_imputed"] = "SELECT Id, " + ", ".join(f"avg({c}) AS {c}" for c in ACTIVITY + _sums) + " FROM mi_imputed GROUP BY 1"
+PARTS["scaled_imputed"] = _scaled("um_imputed", ACTIVITY + _sums)
+_kmeans("stage", "scaled_imputed", ACTIVITY + _sums, "range(3, 4)", 3)
+_dbscan("dense", "scaled_imputed", ACTIVITY + _sums, 2.2, 2)
+oracle("stage2_clusters", """SELECT u.*, a.cluster AS KMeans_Cluster, b.cluster AS DBSCAN_Cluster FROM um_imputed u
+  LEFT JOIN stage_labels a USING (Id) LEFT JOIN dense_labels b USING (Id)""", ACTIVITY + _sums, digits=3)
+oracle("stage2_profile", "SELECT cluster AS KMeans_Cluster, " + ", ".join(f"{half_even(f'avg({c})', 2)} AS {c}" for c in ACTIVITY + _sums)
+       + " FROM um_imputed JOIN stage_labels USING (Id) GROUP BY 1", ACTIVITY + _sums, digits=2)
 oracle("activity_label", """SELECT Id, CASE WHEN TotalSteps > 10000 THEN 'Highly Active' WHEN TotalSteps > 7000 THEN 'Moderately Active'
   WHEN TotalSteps > 4000 THEN 'Lightly Active' ELSE 'Sedentary' END AS level,
   CASE WHEN TotalSteps > 10000 THEN 'Highly Active' WHEN TotalSteps > 5000 THEN 'Moderately Active' ELSE 'Sedentary' END AS coarse_level

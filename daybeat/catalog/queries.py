@@ -626,6 +626,23 @@ def _(spark, sf):
     return cluster.cluster_profile_long(cluster.cluster_profile(_clustered(spark, sf), ACTIVITY))
 
 
+def _stage2(spark, sf) -> DataFrame:
+    """All metrics of the imputed master per user, grouped by k-means and by density."""
+    return pipelines.cluster_users(pipelines.master_imputed(given.roles(spark, sf)), restarts=3)
+
+
+@query("stage2_clusters", 3)
+def _(spark, sf):
+    return _stage2(spark, sf)
+
+
+@query("stage2_profile", 2)
+def _(spark, sf):
+    users = keep(_stage2(spark, sf))
+    metrics = [c for c in users.columns if c not in features.NOT_METRICS]
+    return cluster.cluster_profile(users, metrics, "KMeans_Cluster", digits=2)
+
+
 @query("activity_label")
 def _(spark, sf):
     steps = col("TotalSteps")

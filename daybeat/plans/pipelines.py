@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_date, col, half_even, numeric_columns, text_columns
 from ..functions.ordered import RANGES, fill, time_block
-from ..operators import clean, impute, profile, series
+from ..operators import clean, cluster, impute, profile, series
 from ..operators.dbscan import dbscan
-from ..operators.features import standard_scale, user_features_fixed
+from ..operators.features import NOT_METRICS, standard_scale, user_features, user_features_fixed
 from ..session import discard, keep, one_row
 from ..sources.tables import TIMESTAMP_COLUMNS
 
@@ -166,6 +166,20 @@ def master_daily(tables: dict[str, DataFrame], sleep_stage: bool = False) -> Dat
     return master
 
 
+def cluster_users(master: DataFrame, key: str = "Id", k: int = 3, restarts: int = 1, eps: float = 2.2,
+                  min_samples: int = 2) -> DataFrame:
+    """Every user's mean of all numeric metrics of the master, with KMeans_Cluster and DBSCAN_Cluster.
+
+    Both groupings see the scaled means; gaps have the median over users by then.
+    """
+    means = keep(user_features(master, key))
+    metrics = numeric_columns(means, NOT_METRICS + (key,))
+    scaled = keep(standard_scale(means, metrics))
+    by_means = cluster.kmeans(scaled, key, metrics, k, restarts).withColumnRenamed("cluster", "KMeans_Cluster")
+    by_density = dbscan(scaled, key, metrics, eps, min_samples).withColumnRenamed("cluster", "DBSCAN_Cluster")
+    return means.join(by_means, key, "left").join(by_density, key, "left")
+
+
 def structural_outliers(master: DataFrame, eps: float = 2.2, min_samples: int = 2,
                         key: str = "Id") -> DataFrame:
     """Users that fit no cluster with their mean metrics; needs at least three users."""
