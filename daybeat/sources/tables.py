@@ -185,9 +185,12 @@ def rows_per_role(tables: dict[str, DataFrame]) -> DataFrame:
         for role, df in tables.items()])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with header; one file per partition, timestamps without a zone."""
-    (df.write.mode(mode).option("header", True)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", missing: str = "", compression: str = "none") -> None:
+    """CSV with header; one file per partition, timestamps without a zone, ``missing`` for missing cells.
+
+    ``compression`` is one of Spark's, such as gzip; such a file is read by one task.
+    """
+    (df.write.mode(mode).option("header", True).option("nullValue", missing).option("compression", compression)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
