@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
@@ -193,10 +194,13 @@ def counted_distinct(df: DataFrame) -> tuple[DataFrame, Observation]:
     return out.drop("__n"), seen
 
 
-def counted_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df`` and, once it is written, its ``rows`` and ``nulls``."""
-    seen = Observation()
-    return df.observe(seen, F.count("*").alias("rows"), F.coalesce(F.sum(_missing(df)), F.lit(0)).alias("nulls")), seen
+def counted_rows(df: DataFrame, filled: Sequence[str] = (), numbers: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """``df`` and, once it is written, its ``rows``, its ``nulls`` but for the columns ``filled``, and those
+    of ``numbers`` one by one as ``gaps0``, ``gaps1``, ..."""
+    seen, zero = Observation(), F.lit(0)
+    missing = _missing(df.select(*[col(c) for c in df.columns if c not in filled]))
+    return df.observe(seen, F.count("*").alias("rows"), F.coalesce(F.sum(missing), zero).alias("nulls"),
+                      *[F.count_if(col(c).isNull()).alias(f"gaps{i}") for i, c in enumerate(numbers)]), seen
 
 
 def cleaning_actions(raw: dict[str, DataFrame]) -> DataFrame:
