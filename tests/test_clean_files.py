@@ -35,3 +35,41 @@ def test_raw_tables_are_read_once(spark):
     cleaned, report = pipelines.clean_files({"daily_activity": raw})
     assert [tuple(r) for r in report.collect()] == [("daily_activity", 4, 2, 1, 2, 0)]
     assert cleaned["daily_activity"].count() == 2 and reads.value == 4
+
+
+def test_a_table_without_missing_numbers_is_written_once(spark, monkeypatch):
+    kept, keep = [], pipelines.keep
+    monkeypatch.setattr(pipelines, "keep", lambda df: kept.append(1) or keep(df))
+    raw = spark.createDataFrame([(1, "1/2/2024", 5.0, None), (1, "1/2/2024", 5.0, None), (2, "bad", 1.0, "x")],
+                                "Id long, ActivityDate string, TotalSteps double, Device string")
+    cleaned, report = pipelines.clean_files({"daily_activity": raw})
+    assert [tuple(r) for r in report.collect()] == [("daily_activity", 3, 1, 1, 2, 0)]
+    assert [r.Device for r in cleaned["daily_activity"].collect()] == ["Unknown"] and len(kept) == 1
+
+
+def test_tasks_that_expand_sleep_follow_its_minutes(spark, monkeypatch):
+    monkeypatch.setattr(roles, "TASK_MINUTES", 1000, raising=False)
+    events = spark.range(900).selectExpr("id AS event_id", "id % 7 AS user_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts",
+                                         "'signup' AS event_type", "1.0D AS value")
+    sleep = roles.minute_sleep(events)
+    minutes = sum(1 + 10 * (1 + i % 30) for i in range(900))
+    assert sleep.count() == minutes and sleep.rdd.getNumPartitions() >= minutes / 1000
+
+
+def test_exports_are_written_compressed(spark, monkeypatch):
+    from daybeat.catalog import queries
+    paths, load = [], queries.io.load_roles
+    monkeypatch.setattr(queries.io, "load_roles", lambda spark, p, *by: paths.extend(p) or load(spark, p, *by))
+    assert queries.QUERIES["load_roles"](spark, SF).count() == 10
+    files = [f for p in set(paths) if p.endswith(".csv") for f in spark.read.text(p).inputFiles()]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_a_day_is_worked_out_once_per_row(spark):
+    """No filter in front of the sums repeats the parsing of the time; rows without user or time are ignored."""
+    from daybeat.operators import clean, series
+    raw = spark.createDataFrame([(1, "1/2/2024 1:00:00 AM", 2), (1, "bad", 2), (None, "1/2/2024", 1), (2, "1/2/2024", None)],
+                                "Id long, date string, value long")
+    days = series.daily_sleep_count(clean.parse_timestamps(raw, ["date"]))
+    assert sorted((r.Id, str(r.Date), r.TotalSleepMinutes) for r in days.collect()) == [(1, "2024-01-02", 1), (2, "2024-01-02", 0)]
+    assert days._jdf.queryExecution().optimizedPlan().toString().count("h:mm:ss a") == 1
