@@ -12,7 +12,7 @@ first parted there, and each different part is cut and aligned once per worker.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -161,7 +161,7 @@ class _Aligner:
         if self.size > REMEMBERED_BYTES:
             self.known, self.size = {}, 0
         known, passing = self.known, {}
-        new = list({p for own in split for p in own if p not in known})
+        new = list(set().union(*split).difference(known))
         for start in range(0, len(new), AT_ONCE):
             some = new[start:start + AT_ONCE]
             short = [p for p in some if len(p) <= LONGEST]
@@ -169,8 +169,10 @@ class _Aligner:
             self.learn([p for p in some if len(p) > LONGEST], passing)
             self.size += 480 * len(short)
         for own in split:
-            parts = [known[p] if p in known else passing[p] for p in own]
-            yield [] if None in parts else parts
+            parts = list(map(known.get, own))
+            if not all(parts):      # some are not remembered, or not given back
+                parts = [known[p] if p in known else passing[p] for p in own]
+            yield parts if all(parts) else []
 
 
 @functools.cache
@@ -178,9 +180,9 @@ def _aligner(vocabulary: str, pieces: str) -> _Aligner:
     return _Aligner(vocabulary, pieces)
 
 
-def _links(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
-    """Different id pairs of a text, and how often each is linked."""
-    keys = np.sort(np.frombuffer(b"".join([p.pairs for p in parts]), np.int64))
+def _links(pairs: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Different id pairs of a text, by the pairs of its parts, and how often each is linked."""
+    keys = np.sort(np.frombuffer(b"".join(pairs), np.int64))
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[starts], np.diff(np.concatenate([starts, [len(keys)]]))
 
@@ -206,12 +208,12 @@ def align(df: DataFrame, vocabulary: str, pieces: str, text: str = "text") -> Da
     def make(values: list[bytes | None]) -> list[pa.Array]:
         n_a, n_b, n_groups, n_links, form, found = [], [], [], [], [], []
         for parts in _aligner(vocabulary, pieces).texts(values):
-            n_a.append(sum(p.n_a for p in parts))
-            n_b.append(sum(p.n_b for p in parts))
-            n_groups.append(sum(p.n_groups for p in parts))
-            found.append(_links(parts))
+            *counts, forms, own = zip(*parts) if parts else [()] * len(Part._fields)
+            for column, values_of_parts in zip((n_a, n_b, n_groups), counts):
+                column.append(sum(values_of_parts))
+            found.append(_links(own))
             n_links.append(int(found[-1][1].sum()))
-            form.append(";".join([p.form for p in parts]))
+            form.append(";".join(forms))
         pairs, times = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
         links = pa.StructArray.from_arrays([pa.array(pairs), pa.array(times)], ["pair", "times"])
         return [*(pa.array(c, pa.int64()) for c in (n_a, n_b, n_groups, n_links)), pa.array(form, pa.string()),
