@@ -1,21 +1,23 @@
 """Main text of web pages: markup where it speaks, and runs that repeat on the pages of a host.
 
 Runs of tokens that stand on several different pages of a host cover its boilerplate; what stays are the
-runs of one page alone. ``main_texts`` finds them among pages at hand: their token streams are put one after
-the other and the suffixes are ranked by prefix doubling up to the length of a run. ``extract`` finds them
-on the whole host, whatever its size: chunks of bounded size give the hashes of their runs with the least
-and the greatest of their pages, the host's runs with two different ones go back to the chunks they are in.
-
-Markup settles what repetition cannot: advertisements change from page to page, and articles that were
-copied repeat although they are content. So elements that are no content by tag or class go in any case,
-and if a page marks its article (or main part), exactly that is its text; covered runs are removed
-where a page does not.
+runs of one page alone. They are found by suffix ranks: the token streams of pages are put one after the
+other and their suffixes are ranked by prefix doubling up to the length of a run. ``main_texts`` does so
+among pages at hand, ``extract`` on the whole host, whatever its size: in chunks of bounded size, whose runs
+are named by a hash so that chunks can be added up.
+
+Markup is one more signal, for what repetition cannot settle: advertisements change from page to page, and
+articles that were copied, quoted or close with a stock line repeat although they are content. So elements that
+are no content by tag or class go in any case. On a page that marks its article (or main part), its
+blocks are the text, without those that most pages of the host share; on other pages blocks covered by runs
+of two different pages go.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -33,6 +35,8 @@ from .url_filters import host_and_path
 CHUNK_PAGES, RUN = 128, 8
 # Different pages that must share a run, and the covered share of a block that is boilerplate.
 PAGES_OF_RUN, COVERED = 2, 0.8
+# Different pages, and more than half of the host's, that must share a run to take it out of a marked article.
+PAGES_OF_LINE = 3
 
 # HTML elements by what they mean for text.
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "noembed"}
@@ -193,8 +197,8 @@ def _uncovered(blocks: list[tuple], parent: list[int], tags: list[str], holds: l
     return page
 
 
-def repeated(streams: list[np.ndarray]) -> list[np.ndarray]:
-    """For every token of every stream, whether a run shared by several different streams covers it."""
+def ranked(streams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The streams one after the other: token, rank of its suffix by RUN tokens, stream, and whether a run begins there."""
     sizes = np.fromiter(map(len, streams), np.int64, len(streams))
     n = int(sizes.sum()) + len(streams)
     tokens, owner = np.empty(n, np.int64), np.empty(n, np.int64)
@@ -209,18 +213,24 @@ def repeated(streams: list[np.ndarray]) -> list[np.ndarray]:
         later[:max(n - length, 0)] = rank[length:]
         rank = np.unique(rank * (n + 1) + later + 1, return_inverse=True)[1].astype(np.int64)
         length *= 2
+    return tokens, rank, owner, np.arange(n) + RUN <= starts[owner + 1] - 1
+
+
+def repeated(streams: list[np.ndarray]) -> list[np.ndarray]:
+    """For every token of every stream, whether a run shared by several different streams covers it."""
+    _, rank, owner, inside = ranked(streams)
+    n = len(rank)
     # Equal pages count as one: different (rank, kind of page) pairs per rank.
     kinds = {}
     kind = np.fromiter((kinds.setdefault(s.tobytes(), len(kinds)) for s in streams), np.int64, len(streams))[owner]
     pairs = np.unique(rank * (len(kinds) + 1) + kind)
     shared = np.bincount(pairs // (len(kinds) + 1), minlength=n)[rank] >= PAGES_OF_RUN
-    inside = np.arange(n) + RUN <= starts[owner + 1] - 1
     change = np.zeros(n + RUN + 1, np.int64)
     at = np.flatnonzero(shared & inside)
     np.add.at(change, at, 1)
     np.add.at(change, at + RUN, -1)
-    covered = np.cumsum(change)[:n] > 0
-    return [covered[starts[k]:starts[k] + sizes[k]] for k in range(len(streams))]
+    covered, starts = np.cumsum(change)[:n] > 0, np.searchsorted(owner, np.arange(len(streams)))
+    return [covered[start:start + len(own)] for start, own in zip(starts, streams)]
 
 
 def main_texts(sources: list[str]) -> tuple[list[str], list[list[str]]]:
@@ -246,6 +256,40 @@ def main_texts(sources: list[str]) -> tuple[list[str], list[list[str]]]:
     return texts, removed
 
 
+def packed(blocks: list[str]) -> bytes:
+    """The blocks compressed, as they are shuffled and kept; none holds a line end."""
+    return zlib.compress("\n".join(blocks).encode(), 1) if blocks else b""
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray) -> list[list[str]]:
+    return [zlib.decompress(x).decode().split("\n") if x else [] for x in column.to_pylist()]
+
+
+def page_hash(blocks: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(blocks).encode()) - (1 << 63)
+
+
+def runs_of(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """(hash, different pages, least, greatest page hash) of every different run of some pages' blocks, and how many
+    different pages there are. Suffix ranks tell the runs apart; the hash names them to other chunks."""
+    ids, own, streams = {}, {}, []
+    for blocks in pages:
+        if own.setdefault(page_hash(blocks), len(own)) == len(streams):
+            streams.append(np.array([ids.setdefault(t, len(ids)) for b in blocks for t in (*b.split(" "), "")], np.int64))
+    tokens, rank, owner, inside = ranked(streams)
+    at = np.flatnonzero(inside)
+    if not len(at):
+        return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3, len(own)
+    pairs = np.unique(rank[at] * len(own) + owner[at])
+    ranks, first, n = np.unique(pairs // len(own), return_index=True, return_counts=True)
+    place = np.empty(len(rank), np.int64)
+    place[rank[at]] = at
+    words = np.fromiter((xxhash.xxh3_64_intdigest(t.encode()) for t in ids), np.uint64, len(ids))
+    hashes = shingle_hashes(words[np.maximum(tokens, 0)], RUN)[place[ranks]]
+    page = np.fromiter(own, np.int64, len(own))[pairs % len(own)]
+    return hashes, n, np.minimum.reduceat(page, first), np.maximum.reduceat(page, first), len(own)
+
+
 def run_hashes(blocks: list[str]) -> np.ndarray:
     """Hash of every run of RUN tokens; the end of a block is a token too."""
     tokens = [xxhash.xxh3_64_intdigest(t.encode()) for block in blocks for t in (*block.split(" "), "")]
@@ -267,6 +311,55 @@ def without_runs(blocks: list[str], shared: np.ndarray) -> list[bool]:
     return out
 
 
+def without_lines(blocks: list[str], marks: list[bool], lines: np.ndarray) -> list[bool]:
+    """``marks`` without the blocks that a host's lines cover. An article that would lose more than half of its
+    words to them is a copy, not a frame around something: it stays whole."""
+    stays = [a and b for a, b in zip(marks, without_runs(blocks, lines))]
+    words = [b.count(" ") + 1 for b in blocks]
+    return stays if 2 * sum(w for w, ok in zip(words, stays) if ok) >= sum(w for w, ok in zip(words, marks) if ok) else marks
+
+
+def host_lines(read: DataFrame) -> DataFrame:
+    """(host, lines): hashes of the runs that stand on PAGES_OF_LINE different pages of a host and on more than half of them.
+
+    ``read`` has a row with host, kind (hash of the page) and packed blocks for every page at least once. Equal pages
+    fall into one chunk. What most pages of a host have, most pages of one of its chunks have, so chunks
+    give candidates; one whose sum over these chunks leaves it open is counted in all of them.
+    """
+    sizes = keep(read.select("host", "kind").distinct().groupBy("host").agg(F.count("*").alias("kinds"))
+                 .filter(F.col("kinds") >= PAGES_OF_LINE).withColumn("chunks", F.ceil(F.col("kinds") / CHUNK_PAGES).cast("long")))
+    large = F.broadcast(sizes.filter("chunks > 1").select("host", "chunks"))        # at most a CHUNK_PAGES-th of the pages
+    dealt = read.select("host", "kind", "blocks").join(large, "host", "left").select(
+        "host", F.pmod(F.xxhash64("kind"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"), "blocks")
+    schema = "host string, chunk int, run long, n long"
+
+    def table(rows: pa.Table, run: np.ndarray, n: np.ndarray) -> pa.Table:
+        same = [pa.array([rows.column(c)[0].as_py()] * len(run), kind) for c, kind in (("host", pa.string()), ("chunk", pa.int32()))]
+        return pa.table([*same, pa.array(run.view(np.int64)), pa.array(n.astype(np.int64))], names=["host", "chunk", "run", "n"])
+
+    def likely(rows: pa.Table) -> pa.Table:
+        run, n, _, _, kinds = runs_of(unpacked(rows.column("blocks")))
+        return table(rows, run[2 * n > kinds], n[2 * n > kinds])
+
+    def counted(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return table(asked, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        run, n, *_ = runs_of(unpacked(rows.column("blocks")))
+        here = np.isin(run, asked.column("run").to_numpy().view(np.uint64))
+        return table(rows, run[here], n[here])
+
+    found = keep(dealt.groupBy("host", "chunk").applyInArrow(likely, schema))
+    total = keep(found.groupBy("host", "run").agg(F.sum("n").alias("n")).join(sizes, "host"))
+    is_line = (F.col("n") >= PAGES_OF_LINE) & (2 * F.col("n") > F.col("kinds"))
+    asked = keep(total.filter(~is_line & (F.col("chunks") > 1)).select(
+        "host", "run", F.explode(F.sequence(F.lit(0), (F.col("chunks") - 1).cast("int"))).alias("chunk")))
+    again = (dealt.join(asked.select("host").distinct(), "host", "left_semi").groupBy("host", "chunk")
+             .cogroup(asked.groupBy("host", "chunk")).applyInArrow(counted, schema)
+             .groupBy("host", "run").agg(F.sum("n").alias("n")).join(sizes, "host"))
+    return (total.filter(is_line).select("host", "run").unionByName(again.filter(is_line).select("host", "run"))
+            .groupBy("host").agg(F.collect_list("run").alias("lines")))
+
+
 def extract(df: DataFrame, id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """(id, url, text, removed) of every row: the main text, and the blocks removed as repeated.
 
@@ -279,35 +372,33 @@ def extract(df: DataFrame, id: str = "page_id", url: str = "url", source: str =
                       F.col(f"`{source}`").alias("html"), F.coalesce(host, F.lit("")).alias("host"))
     kinds = [pages.schema["id"], pages.schema["url"]]
     blocks_kind = T.ArrayType(T.StringType())
-    schema = T.StructType([*kinds, pages.schema["host"], T.StructField("text", T.StringType()), T.StructField("blocks", blocks_kind)])
+    schema = T.StructType([*kinds, pages.schema["host"], T.StructField("kind", T.LongType()), T.StructField("again", T.BooleanType()),
+                           T.StructField("blocks", T.BinaryType()), T.StructField("marks", T.ArrayType(T.BooleanType()))])
 
     def parsed(batches):
         for batch in batches:
             for part in pieces(batch, "html"):
                 found = [parse(x or "") for x in part.column(2).to_pylist()]
-                chosen = [page.chosen() for page in found]
-                texts = [None if c is None else "\n".join(b for b, ok in zip(p.blocks, c) if ok) for p, c in zip(found, chosen)]
+                kind, seen, again = [page_hash(page.blocks) for page in found], set(), []
+                for key in zip(part.column(3).to_pylist(), kind):
+                    again.append(key in seen)
+                    seen.add(key)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(3), pa.array(texts, pa.string()),
-                     pa.array([p.blocks for p in found], pa.list_(pa.string()))], names=["id", "url", "host", "text", "blocks"])
+                    [part.column(0), part.column(1), part.column(3), pa.array(kind, pa.int64()), pa.array(again, pa.bool_()),
+                     pa.array([packed(p.blocks) for p in found], pa.binary()),
+                     pa.array([p.chosen() for p in found], pa.list_(pa.bool_()))],
+                    names=["id", "url", "host", "kind", "again", "blocks", "marks"])
 
     read = keep(pages.mapInArrow(parsed, schema).withColumn("row", F.monotonically_increasing_id()))
-    marked, rest = read.filter("text is not null"), read.filter("text is null")
-    # Hosts all of whose pages are marked need no runs.
-    sizes = keep(read.groupBy("host").agg(F.count("*").alias("n"), F.count_if(F.col("text").isNull()).alias("asking"))
+    lines = keep(host_lines(read.filter("not again")))
+    marked, rest = read.filter("marks is not null"), read.filter("marks is null")
+    # Hosts all of whose pages are marked need no other runs.
+    sizes = keep(read.groupBy("host").agg(F.count("*").alias("n"), F.count_if(F.col("marks").isNull()).alias("asking"))
                  .filter("asking > 0").select("host", F.ceil(F.col("n") / CHUNK_PAGES).alias("chunks")))
     chunk = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int").alias("chunk")
 
     def runs(rows: pa.Table) -> pa.Table:
-        own, page = [], []
-        for blocks in rows.column("blocks").to_pylist():
-            own.append(np.unique(run_hashes(blocks)))
-            page.append(np.full(len(own[-1]), xxhash.xxh3_64_intdigest("\n".join(blocks).encode()), np.uint64))
-        own, page = np.concatenate(own), np.concatenate(page).view(np.int64)
-        different, back = np.unique(own, return_inverse=True)
-        least, most = np.full(len(different), np.iinfo(np.int64).max), np.full(len(different), np.iinfo(np.int64).min)
-        np.minimum.at(least, back, page)
-        np.maximum.at(most, back, page)
+        different, _, least, most, _ = runs_of(unpacked(rows.column("blocks")))
         n = len(different)
         return pa.table({"host": pa.array([rows.column("host")[0].as_py()] * n, pa.string()),
                          "chunk": pa.array([rows.column("chunk")[0].as_py()] * n, pa.int32()),
@@ -322,7 +413,7 @@ def extract(df: DataFrame, id: str = "page_id", url: str = "url", source: str =
 
     def cleaned(rows: pa.Table, found: pa.Table) -> pa.Table:
         shared, texts, removed = np.sort(found.column("run").to_numpy().view(np.uint64)), [], []
-        for blocks in rows.column("blocks").to_pylist():
+        for blocks in unpacked(rows.column("blocks")):
             stays = without_runs(blocks, shared)
             texts.append("\n".join(b for b, ok in zip(blocks, stays) if ok))
             removed.append([b for b, ok in zip(blocks, stays) if not ok])
@@ -331,5 +422,16 @@ def extract(df: DataFrame, id: str = "page_id", url: str = "url", source: str =
 
     asking = rest.join(sizes, "host").select("id", "url", "blocks", "host", chunk)
     unmarked = asking.groupBy("host", "chunk").cogroup(back.groupBy("host", "chunk")).applyInArrow(cleaned, out)
-    return (marked.select("id", "url", "text", F.array().cast(blocks_kind).alias("removed")).unionByName(unmarked)
-            .withColumnsRenamed({"id": id, "url": url}))
+
+    def chosen(batches):
+        for batch in batches:
+            texts, removed = [], []
+            for blocks, marks, own in zip(unpacked(batch.column(2)), *(batch.column(k).to_pylist() for k in (3, 4))):
+                stays = without_lines(blocks, marks, np.sort(np.array(own, np.int64).view(np.uint64))) if own else marks
+                texts.append("\n".join(b for b, ok in zip(blocks, stays) if ok))
+                removed.append([b for b, ok, was in zip(blocks, stays, marks) if was and not ok])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
+                                              pa.array(removed, pa.list_(pa.string()))], names=["id", "url", "text", "removed"])
+
+    told = marked.join(lines, "host", "left").select("id", "url", "blocks", "marks", "lines").mapInArrow(chosen, out)
+    return told.unionByName(unmarked).withColumnsRenamed({"id": id, "url": url})

@@ -125,3 +125,45 @@ def test_unmatched_end_tags_take_time_in_proportion():
     small = min(seconds(5_000) for _ in range(3))
     assert min(seconds(20_000) for _ in range(2)) < 10 * max(small, 0.01)
     assert text_of("<div><article><p>kept</section></p></article></div></div><p>after</p>") == "kept"
+
+
+def test_lines_of_most_pages_leave_marked_articles(spark, monkeypatch):
+    """Against brute force over whole hosts: a letter on all pages goes, whatever the chunks; copies and quotes stay."""
+    own = lambda k: " ".join(f"own{k}word{j}" for j in range(20))
+    letter = "Sign up for our weekly letter and get the news of all seven days"
+    quote = "a stock line that some of the articles on this host close with"
+    pages = []
+    for host, parts in (("a.b", lambda k: [own(k), letter, *[quote] * (k % 3 == 0)]), ("c.d", lambda k: [own(0), own(1), letter]),
+                        ("e.f", lambda k: [own(k), *[letter] * (k % 2)]), ("g.h", lambda k: [own(k), *[letter] * (k % 2 or k > 25)])):
+        pages += [(len(pages) + k, host, [*parts(k), *[f"end {k}"] * (host == "c.d")]) for k in range(30)]
+    pages += [(900, "i.j", [own(1), letter]), (901, "i.j", [own(2), letter])]
+    pages += [(id, host, blocks) for id, host, blocks in pages if id == 90 for _ in range(40)]      # one page again and again
+
+    def runs(blocks):
+        tokens = [t for b in blocks for t in (*b.split(" "), "")]
+        return {tuple(tokens[i:i + h.RUN]) for i in range(len(tokens) - h.RUN + 1)}
+
+    want = []
+    for id, host, blocks in pages:
+        kinds = {tuple(b) for _, other, b in pages if other == host}
+        shared = {r for r in runs(blocks) if (n := sum(r in runs(k) for k in kinds)) >= h.PAGES_OF_LINE and 2 * n > len(kinds)}
+        hashes = {h.run_hashes([" ".join(r)])[0] for r in shared if "" not in r}
+        gone = [b for b in blocks if hashes and h.without_runs([b], np.sort(np.array(list(hashes), np.uint64))) == [False]]
+        if 2 * sum(len(b.split()) for b in gone) > sum(len(b.split()) for b in blocks):
+            gone = []
+        want.append((id, "\n".join(b for b in blocks if b not in gone), tuple(gone)))
+    assert {w[2] for w in want if w[0] < 30 or 90 <= w[0] < 120} == {(letter,), ()} and {w[2] for w in want if 30 <= w[0] < 90} == {()}
+    df = spark.createDataFrame([(id, f"http://{host}/{id}", "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>")
+                                for id, host, blocks in pages], PAGES)
+    for size in (1000, 4):
+        monkeypatch.setattr(h, "CHUNK_PAGES", size)
+        assert sorted((r.page_id, r.text, tuple(r.removed)) for r in h.extract(df).collect()) == sorted(want)
+
+
+def test_runs_of_pages_have_the_hashes_of_their_words():
+    pages = [["a b c d e f g h i", "x"], ["b c d e f g h i", "y"], [], ["a b c d e f g h i", "x"]]
+    run, n, least, most, kinds = h.runs_of(pages)
+    got = dict(zip(run.tolist(), zip(n.tolist(), (least < most).tolist())))
+    assert kinds == 3 and got[h.run_hashes(["b c d e f g h i"])[0]] == (2, True)
+    assert set(got) == {x for p in pages for x in h.run_hashes(p).tolist()}
+    assert sorted(v[0] for v in got.values()).count(2) == 2     # the run and the one with its block's end
