@@ -97,11 +97,14 @@ class _Aligner:
         texts = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(t[3:5], 16)]) if self.b.is_byte(k) else t.replace(_SPACE, " ").encode()
                         for k, t in enumerate(texts)]
-        self.names_a, self.names_b = (list(map(str, range(len(own)))) for own in (self.bytes_a, self.bytes_b))
+        # Ids of A before another one and before those of B, then ids of B before another one, the next group, the next part.
+        self.names = [f"{k}{end}" for own, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;\n")) for end in ends
+                      for k in range(len(own))]
         self.sizes_a, self.sizes_b = (np.array([len(t) for t in own], np.int64) for own in (self.bytes_a, self.bytes_b))
         # A piece that goes on after a space would join two parts.
         self.apart = not any(_SPACE in t.lstrip(_SPACE) for t in texts)
         self.known: dict[str, Part | None] = {}
+        self.older: dict[str, Part | None] = {}
         self.size = 0
 
     def learn(self, parts: list[str], out: dict[str, Part | None]) -> None:
@@ -110,8 +113,8 @@ class _Aligner:
         Parts without white space at their ends are put together again for the tokenizers, some at a
         time: known shared cuts stand between them.
         """
-        joint = [p for p in parts if not (p[0].isspace() or p[-1].isspace())] if self.apart else []
-        alone = set(parts).difference(joint)
+        joint = [p for p in parts if len(p.strip()) == len(p)] if self.apart else []
+        alone = set(parts).difference(joint) if len(joint) < len(parts) else ()
         groups = [[p] for p in alone] + [joint[k:k + TOGETHER] for k in range(0, len(joint), TOGETHER)]
         failed = self._learn(groups, out)
         for p in self._learn([[p] for g in failed if len(g) > 1 for p in g], out) + [g for g in failed if len(g) == 1]:
@@ -142,26 +145,41 @@ class _Aligner:
         groups = leaves(ends_a, ends_b, after_a, after_b)
         link_a, link_b = overlaps(ends_a, ends_b)
         pairs = (ids_a[link_a] << 32 | ids_b[link_b]).tobytes()
-        texts_a, texts_b = [self.names_a[k] for k in tokens_a], [self.names_b[k] for k in tokens_b]
-        forms = [f"{texts_a[a]}|{texts_b[b]}" if c - a == 1 == d - b else
-                 ",".join(texts_a[a:c]) + "|" + ",".join(texts_b[b:d]) for a, c, b, d in groups.T.tolist()]
         # Groups and links up to the end of each part.
         after_groups = np.searchsorted(groups[1], after_a) + 1
         after_links = np.searchsorted(link_a, after_a)
-        a = b = g = x = 0
-        for part, to_a, to_b, to_g, to_x in zip(parts, after_a.tolist(), after_b.tolist(), after_groups.tolist(),
-                                                after_links.tolist()):
-            out[part] = Part(to_a - a, to_b - b, to_g - g, ";".join(forms[g:to_g]), pairs[8 * x:8 * to_x])
-            a, b, g, x = to_a, to_b, to_g, to_x
+        forms = self._forms(ids_a, ids_b, groups, after_groups)
+        cut = [0, *(8 * after_links).tolist()]
+        own = (pairs[x:y] for x, y in zip(cut, cut[1:]))
+        counts = (np.diff(after, prepend=0).tolist() for after in (after_a, after_b, after_groups))
+        out.update(zip(parts, map(Part._make, zip(*counts, forms, own))))
+
+    def _forms(self, ids_a: np.ndarray, ids_b: np.ndarray, groups: np.ndarray, after_groups: np.ndarray) -> list[str]:
+        """The groups of every part as text: ids of A, then of B, each with the sign behind it."""
+        n_a, n_b = len(self.bytes_a), len(self.bytes_b)
+        names_a, names_b = ids_a.copy(), ids_b + 2 * n_a
+        names_a[groups[1] - 1] += n_a
+        names_b[groups[3] - 1] += n_b
+        names_b[groups[3][after_groups - 1] - 1] += n_b
+        # A token's place: those of its own side before it, and those of the other side before its group, or up to its end.
+        names = np.empty(len(ids_a) + len(ids_b), np.int64)
+        names[np.arange(len(ids_a)) + np.repeat(groups[2], groups[1] - groups[0])] = names_a
+        names[np.arange(len(ids_b)) + np.repeat(groups[1], groups[3] - groups[2])] = names_b
+        return "".join(map(self.names.__getitem__, names.tolist())).split("\n")[:-1]
 
     def texts(self, values: list[bytes | None]) -> Iterator[list[Part]]:
         """The parts of every text; none for a text that is null, empty or not given back whole."""
         split = [(v or b"").decode() for v in values]
         split = [(cuts(t) if self.apart else [t]) if t else [] for t in split]
-        if self.size > REMEMBERED_BYTES:
-            self.known, self.size = {}, 0
-        known, passing = self.known, {}
-        new = list(set().union(*split).difference(known))
+        # A part that was not met while others filled half of the memory is forgotten.
+        if 2 * self.size > REMEMBERED_BYTES:
+            self.older, self.known, self.size = self.known, {}, 0
+        known, older, passing = self.known, self.older, {}
+        new = set().union(*split).difference(known)
+        again = new.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        self.size += 480 * len(again)
+        new = list(new.difference(again))
         for start in range(0, len(new), AT_ONCE):
             some = new[start:start + AT_ONCE]
             short = [p for p in some if len(p) <= LONGEST]

@@ -142,3 +142,18 @@ def test_groups_as_ids_and_clashing_columns(spark):
 
 def test_empty_table(spark):
     assert A.weigh(A.align(documents(spark).limit(0), VOCABULARY, PIECES)).count() == 0
+
+
+def test_parts_in_use_outlive_the_memory(monkeypatch):
+    """Parts that every batch holds are learned once, while others come and are forgotten."""
+    monkeypatch.setattr(A, "REMEMBERED_BYTES", 480 * 200)
+    aligner, learned = A._Aligner(VOCABULARY, PIECES), []
+    learn = aligner.learn
+    monkeypatch.setattr(aligner, "learn", lambda parts, out: (learned.extend(parts), learn(parts, out))[1])
+    usual = " ".join(f"usual{k}" for k in range(40))
+    for batch in range(12):
+        own = usual + " " + " ".join(f"own{batch}word{k}" for k in range(40))
+        (parts,) = aligner.texts([own.encode()])
+        assert b"".join(aligner.bytes_a[int(k)] for p in parts for g in p.form.split(";") for k in g.split("|")[0].split(",")) == f" {own}".encode()
+        assert [p.n_groups for p in parts] == [p.form.count("|") for p in parts]
+    assert len(learned) == 40 + 12 * 40 and len(aligner.known) + len(aligner.older) <= 400
