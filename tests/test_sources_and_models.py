@@ -5,7 +5,8 @@ import pytest
 
 from pyspark.errors import PySparkException
 
-from daybeat.operators import clean, cluster, forecast, profile
+from daybeat.operators import clean, cluster, features, forecast, impute, profile
+from daybeat.plans import pipelines
 from daybeat.sources import tables as io
 
 
@@ -192,3 +193,22 @@ def test_forecast_recovers_line_and_weekday(spark):
 
 def test_labels():
     assert cluster.shown_metrics(["x", "Calories", "TotalSteps"]) == ["TotalSteps", "Calories", "x"]
+
+
+def test_medians_read_written_rows(spark, monkeypatch):
+    """The joins of the master and the means of its users are worked out once, not again for their medians."""
+    seen, fill = [], impute.fill_median
+
+    def noted(df, cols):
+        seen.append(hasattr(df, "kept_at"))
+        return fill(df, cols)
+
+    monkeypatch.setattr(impute, "fill_median", noted)
+    monkeypatch.setattr(features, "fill_median", noted)
+    day = dt.date(2024, 1, 1)
+    daily = spark.createDataFrame([(1, day, 10.0), (1, day + dt.timedelta(1), None), (2, day, None), (None, day, 4.0)],
+                                  "Id long, ActivityDate date, TotalSteps double")
+    master = pipelines.master_imputed({"daily_activity": daily})
+    assert sorted((r.Id or 0, r.TotalSteps) for r in master.collect()) == [(0, 4.0), (1, 10.0), (1, 10.0), (2, 10.0)]
+    assert {r.Id: r.TotalSteps for r in features.user_features(master).collect()} == {1: 10.0, 2: 10.0}
+    assert seen == [True, True]
